@@ -13,7 +13,7 @@ from feedlens.functions.text import _col
 
 def tag_type(tag: Column) -> Column:
     """``PRODUCT`` for ``B-PRODUCT`` and ``I-PRODUCT``; NULL outside an entity."""
-    return F.when(tag.rlike("^[BI]-"), F.substring(tag, 3, 1 << 20))
+    return F.when(tag.startswith("B-") | tag.startswith("I-"), F.substring(tag, 3, 1 << 20))
 
 
 def opens_span(tag: Column, previous: Column) -> Column:

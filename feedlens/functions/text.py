@@ -100,8 +100,12 @@ def preprocess_message(c: Column | str, script: str = "ethiopic") -> Column:
 
 
 def ws_tokens(c: Column | str) -> Column:
-    """Whitespace-separated tokens; NULL gives no tokens."""
-    return F.regexp_extract_all(text_or_empty(c), F.lit(NOT_WS + "+"), F.lit(0))
+    """Whitespace-separated tokens; NULL gives no tokens.
+
+    Splitting and dropping the empty ends is several times faster than extracting runs of
+    the negated class.
+    """
+    return F.array_remove(F.split(text_or_empty(c), WS + "+"), "")
 
 
 def first_line(c: Column | str) -> Column:

@@ -102,7 +102,7 @@ def channel_filter(df: DataFrame, channels: list[str] | DataFrame) -> DataFrame:
     """Keep the listed channels; a long list comes as a DataFrame with ``channel_username``
     and is joined (Catalyst broadcasts it if it is small enough)."""
     if isinstance(channels, DataFrame):
-        return df.join(channels.select("channel_username").distinct(), "channel_username", "left_semi")
+        return df.join(channels.select("channel_username"), "channel_username", "left_semi")
     return df.where(F.col("channel_username").isin(list(channels)))
 
 

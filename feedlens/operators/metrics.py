@@ -104,32 +104,35 @@ def classification_report(df: DataFrame, actual: str = "labels", predicted: str
         F.sum("s.predicted").alias("predicted"),
         F.sum("s.actual").alias("support"),
     )
-    counts = [F.col("found"), F.col("predicted"), F.col("support")]
-    scored = per_type.select("name", *_scores(*counts), "support", "found", "predicted")
-    columns = ["name", "precision", "recall", "f1", "support"]
-    micro = (
-        per_type.agg(*[F.sum(c).alias(c) for c in ("found", "predicted", "support")])
-        .select(F.lit("micro avg").alias("name"), *_scores(*counts), "support")
-        .where(F.col("support").isNotNull())
+    names = ["precision", "recall", "f1"]
+    scored = per_type.select(
+        "*", *_scores(F.col("found"), F.col("predicted"), F.col("support"))
     )
-    names = ("precision", "recall", "f1")
-    macro = scored.agg(*[F.avg(c).alias(c) for c in names], F.sum("support").alias("support"))
-    weighted = scored.agg(
-        *[_ratio(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(c) for c in names],
-        F.sum("support").alias("support"),
-    )
-    summary = [
-        part.withColumn("name", F.lit(name)).where(F.col("support").isNotNull()).select(columns)
-        for part, name in ((macro, "macro avg"), (weighted, "weighted avg"))
-    ]
-    rows = [scored.select(columns).withColumn("_order", F.lit(0))]
-    rows += [
-        part.select(columns).withColumn("_order", F.lit(i + 1)) for i, part in enumerate([micro, *summary])
+    # The rollup adds one total row to the few per-type rows; it becomes the three averages.
+    sums = [F.sum(c).alias(c) for c in ("found", "predicted", "support")]
+    means = [F.avg(c).alias(c) for c in names]
+    weighted = [
+        _ratio(F.sum(F.col(c) * F.col("support")), F.sum("support")).alias(f"weighted_{c}") for c in names
     ]
-    out = rows[0]
-    for part in rows[1:]:
-        out = out.unionByName(part)
-    return out.orderBy("_order", "name").drop("_order")
+    rolled = scored.rollup("name").agg(F.grouping("name").alias("total"), *sums, *means, *weighted)
+
+    def row(order: int, name: Column, values: list[Column]) -> Column:
+        named = [v.alias(c) for v, c in zip(values, names)]
+        return F.struct(F.lit(order).alias("order"), name.alias("name"), *named, "support")
+
+    mean = [F.col(c) for c in names]
+    averages = F.array(
+        row(1, F.lit("micro avg"), _scores(F.col("found"), F.col("predicted"), F.col("support"))),
+        row(2, F.lit("macro avg"), mean),
+        row(3, F.lit("weighted avg"), [F.col(f"weighted_{c}") for c in names]),
+    )
+    own = F.array(row(0, F.col("name"), mean))
+    return (
+        rolled.where(F.col("support").isNotNull())
+        .select(F.explode(F.when(F.col("total") == 1, averages).otherwise(own)).alias("r"))
+        .orderBy("r.order", "r.name")
+        .select("r.name", *[f"r.{c}" for c in names], "r.support")
+    )
 
 
 def _marked(keys: Column | str, actual: int, predicted: int, found: int) -> Column:

@@ -10,6 +10,8 @@ from feedlens.functions import entities as E
 from feedlens.functions.numbers import round_to
 from feedlens.functions.text import _col
 from feedlens.operators.cleaning import default_entities, default_views, parse_timestamp, vendor_column
+from feedlens.operators.skew import broadcast_if_small
+from feedlens.session import stored
 
 DAY_US = 24 * 3600 * 1_000_000
 
@@ -85,16 +87,18 @@ def top_of(value: Column, order: str = "id") -> Column:
 def top_post(df: DataFrame, text: str = "message", order: str = "id") -> DataFrame:
     """``vendor, message, views`` of the most viewed post.
 
-    Only ids are compared per vendor; the texts are fetched for the winners alone, so
-    long messages are never sorted or shuffled.
+    Only ids are compared per vendor. The winners are stored, and their texts are then
+    picked out of one more scan (a broadcast join if the winners are few), so that long
+    messages are never sorted, nor shuffled for the few.
     """
     winners = (
         with_vendor(df).groupBy("vendor")
         .agg(top_of(F.struct(F.col(order), F.col("views")), order).alias("top"))
         .select("vendor", F.col(f"top.{order}").alias(order), F.col("top.views").alias("views"))
     )
+    winners, _ = broadcast_if_small(stored(winners, "winners"))
     texts = df.select("vendor", order, F.col(text).alias("message"))
-    return winners.join(texts, ["vendor", order]).select("vendor", "message", "views")
+    return texts.join(winners, ["vendor", order]).select("vendor", "message", "views")
 
 
 def top_products(df: DataFrame, order: str = "id") -> DataFrame:

@@ -14,6 +14,7 @@ from feedlens.functions.numbers import round_to
 from feedlens.functions.spans import span_keys
 from feedlens.functions.text import _col
 from feedlens.operators.skew import join_by_key_counts
+from feedlens.session import stored
 
 SUFFIX_LENGTH = 3
 PRIOR = "prior"
@@ -75,6 +76,11 @@ def train_tagger(
     )
 
 
+def store_model(model: DataFrame) -> DataFrame:
+    """The model as a stored table with one folder per feature."""
+    return stored(model, "model", partition_by=["feature"])
+
+
 def model_rows(model: DataFrame, labels: list[str] | None = None) -> DataFrame:
     """The model as one row per (feature, key, label)."""
     names = F.array(*map(F.lit, labels or rules.TAGS))
@@ -87,8 +93,9 @@ def apply_tagger(
 ) -> DataFrame:
     """Adds ``prediction``, ``score`` and ``scores`` to token rows.
 
-    Equal tokens get equal tags, so the back-off runs once per distinct token; the token
-    rows are then joined to that vocabulary, frequent tokens by broadcast.
+    Equal tokens get equal tags, so the back-off runs once per distinct token. That
+    vocabulary is stored (it is read several times, and its size decides the join), and
+    the token rows are joined to it, frequent tokens by broadcast. Pass a stored model.
     """
     labels = labels or rules.TAGS
     inputs = _inputs(features)
@@ -112,7 +119,7 @@ def apply_tagger(
             F.get(F.array(*map(F.lit, labels)), F.array_position("scores", F.col("score")).cast("int") - 1),
         )
     )
-    return join_by_key_counts(rows, resolved, inputs)
+    return join_by_key_counts(rows, stored(resolved, "vocabulary"), inputs)
 
 
 def argmax_labels(scores: DataFrame, keys: list[str]) -> DataFrame:

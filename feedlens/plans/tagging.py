@@ -33,7 +33,7 @@ def tag_test_part(
 ) -> DataFrame:
     """Train on one part of the split tokens and tag the other."""
     features = G.VARIANTS[variant]
-    model = G.train_tagger(train_part(tokens), features, labels)
+    model = G.store_model(G.train_tagger(train_part(tokens), features, labels))
     return G.apply_tagger(test_part(tokens), model, features, labels)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.functions.text import NOT_WS, WS, _col
+from feedlens.functions.text import WS, _col, ws_tokens
 
 # Newline, then lines of nothing but whitespace.
 _BLANK_LINES = rf"\n({WS}*\n)+"
@@ -33,11 +33,8 @@ def read_conll(spark: SparkSession, path: str, line_sep: str = "\n\n") -> DataFr
     block = F.explode(F.split(F.replace(raw["value"], F.lit("\r\n"), F.lit("\n")), _BLANK_LINES))
     blocks = raw.select(block.alias("block"))
 
-    def fields(line: Column) -> Column:
-        return F.regexp_extract_all(line, F.lit(NOT_WS + "+"), F.lit(0))
-
     pairs = F.filter(
-        F.transform(F.split("block", "\n"), fields), lambda parts: F.size(parts) == 2
+        F.transform(F.split("block", "\n"), ws_tokens), lambda parts: F.size(parts) == 2
     )
     tokens = F.transform(pairs, lambda p: F.struct(p[0].alias("token"), p[1].alias("label")))
     return (

@@ -56,11 +56,12 @@ def to_posts(documents: DataFrame) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """``spread`` deals the rows of a single-file table out to all cores before costly
-    text work; a table of many files already comes in enough partitions."""
+    """``spread`` deals the rows out to all cores before costly text work, if the table comes
+    in fewer partitions than there are cores; a large table is never shuffled for it."""
     documents = read(spark, sf_dir, "documents")
-    if spread and len(documents.inputFiles()) == 1:
-        documents = documents.repartition(spark.sparkContext.defaultParallelism, "doc_id")
+    cores = spark.sparkContext.defaultParallelism
+    if spread and documents.rdd.getNumPartitions() < cores:
+        documents = documents.repartition(cores, "doc_id")
     return to_posts(documents)
 
 

@@ -60,7 +60,7 @@ def write_table(
     path: str,
     fmt: str = "parquet",
     header: dict[str, str] | None = None,
-    max_rows_per_file: int = 1_000_000,
+    max_rows_per_file: int = 200_000,
     mode: str = "errorifexists",
 ) -> None:
     """Write a result table; ``header`` renames columns, CSV gets a header row.
