@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from feedlens import rules
 from feedlens.operators.cleaning import clean_messages, message_record, preprocess_messages
 from feedlens.operators.topn import latest_n_per_channel
-from feedlens.sources.tables import write_messages
+from feedlens.sources.tables import write_messages, write_table
 
 
 def backfill(landed: DataFrame, media_folder: str, n: int = rules.BACKFILL_LIMIT) -> DataFrame:
@@ -20,10 +20,10 @@ def clean_and_preprocess(raw: DataFrame, script: str = "ethiopic") -> DataFrame:
 
 
 def run_feed(landed: DataFrame, media_folder: str, out: str, fmt: str = "parquet") -> None:
-    """Write the ``raw``, ``clean`` and ``preprocessed`` message tables below ``out``."""
+    """Write the ``raw``, ``clean`` and ``preprocessed`` message tables below ``out``; the
+    last two under the message file's own column names."""
     spark = landed.sparkSession
-    write_messages(backfill(landed, media_folder), f"{out}/raw", "parquet")
+    write_table(backfill(landed, media_folder), f"{out}/raw")
     raw = spark.read.parquet(f"{out}/raw")
-    raw = raw.toDF(*[c.lower().replace(" ", "_") for c in raw.columns])
     write_messages(clean_messages(raw), f"{out}/clean", fmt)
     write_messages(clean_and_preprocess(raw), f"{out}/preprocessed", fmt)

@@ -10,7 +10,8 @@ from feedlens import rules
 from feedlens.schemas import MESSAGE_HEADER, MESSAGES, OPTIONAL_HEADER
 
 # Quotes are doubled inside quoted fields, fields may hold newlines, spaces are data.
-_CSV_READ = {"header": True, "multiLine": True, "escape": '"'}
+# A file whose header differs from the schema is refused instead of misread.
+_CSV_READ = {"header": True, "multiLine": True, "escape": '"', "enforceSchema": False}
 _CSV_WRITE = {
     "header": True,
     "escape": '"',
@@ -78,4 +79,5 @@ def write_table(
 
 def write_messages(df: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists") -> None:
     """Write a message table under the file's own column names."""
-    write_table(df, path, fmt, MESSAGE_HEADER | OPTIONAL_HEADER, mode=mode)
+    header = {column: name for name, column in (MESSAGE_HEADER | OPTIONAL_HEADER).items()}
+    write_table(df, path, fmt, header, mode=mode)
