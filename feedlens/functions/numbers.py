@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedlens.functions.text import WS, _col
+from feedlens.functions.text import WS_LIST, _col
 
 # Rejects nan, inf, 1_000 and type suffixes such as 12d.
 NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -14,7 +14,7 @@ NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 def clean_price(c: Column | str) -> Column:
     """Text with commas and ``ETB`` -> number; NULL when it is not a number."""
     bare = F.replace(F.replace(_col(c), F.lit(","), F.lit("")), F.lit("ETB"), F.lit(""))
-    bare = F.regexp_replace(bare, f"^{WS}+|{WS}+$", "")
+    bare = F.btrim(bare, F.lit(WS_LIST))
     return F.when(bare.rlike(NUMBER), bare.try_cast("double"))
 
 

@@ -11,7 +11,7 @@ from feedlens.functions.media import media_path
 from feedlens.functions.numbers import NUMBER
 from feedlens.functions.spans import tag_spans
 from feedlens.functions.text import (
-    canonical_username, normalize_ws, preprocess_message, text_or_empty,
+    NOT_WS, canonical_username, normalize_ws, preprocess_message, text_or_empty,
 )
 from feedlens.schemas import ENTITY
 
@@ -29,8 +29,13 @@ def message_record(df: DataFrame, media_folder: str) -> DataFrame:
 
 
 def clean_messages(df: DataFrame) -> DataFrame:
-    """Normalise whitespace and drop messages without text. Narrow; works on a stream."""
-    return df.withColumn("message", normalize_ws("message")).where(F.length("message") > 0)
+    """Drop messages without text and normalise the whitespace of the others. Narrow;
+    works on a stream.
+
+    The filter looks for one visible character; a filter on the normalised text would
+    normalise every message twice.
+    """
+    return df.where(F.col("message").rlike(NOT_WS)).withColumn("message", normalize_ws("message"))
 
 
 def drop_null_text(df: DataFrame, column: str = "message") -> DataFrame:
@@ -87,10 +92,13 @@ def entities_of(tokens: Column) -> Column:
     price = F.get(amounts, F.lit(0))["token"]
 
     def record(span: Column) -> Column:
-        words = F.slice(tokens, span["start"] + 1, span["end"] - span["start"] + 1)
+        # Positions instead of a slice: a slice copies the whole sentence for every span.
+        words = F.transform(
+            F.sequence(span["start"], span["end"]), lambda i: F.get(tokens, i)["token"]
+        )
         return F.struct(
             F.get(tokens, span["start"])["label"].alias("label"),
-            F.array_join(F.transform(words, lambda t: t["token"]), " ").alias("word"),
+            F.array_join(words, " ").alias("word"),
             F.when(span["type"] == "PRODUCT", price).alias("price"),
         )
 

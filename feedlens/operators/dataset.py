@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.labels import first_line_label, label_message, rest_label
-from feedlens.functions.text import _col, text_lines, ws_tokens
+from feedlens.functions.text import _col, first_line, text_lines, ws_tokens
 
 
 def label_sentences(
@@ -30,13 +30,46 @@ def label_sentences(
     )
 
 
+def labeled_tokens(
+    df: DataFrame,
+    key: str = "id",
+    text: str = "text",
+    marks: list[str] | None = None,
+    places: list[str] | None = None,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """Messages -> token rows ``sid, pos, token, previous, label`` and the columns in ``keep``.
+
+    The same rows as ``token_rows(label_sentences(df))``. The label comes after the explode
+    here, so that it is a plain column in generated code.
+    """
+    keys = ["sid", *(keep or [])]
+    words = df.withColumn("sid", F.col(key)).select(
+        *keys, ws_tokens(text).alias("_words"), F.size(ws_tokens(first_line(text))).alias("_first")
+    )
+    shifted = F.arrays_zip(
+        F.col("_words").alias("token"), F.concat(F.array(F.lit("")), F.col("_words")).alias("previous")
+    )
+    label = F.when(F.col("pos") < F.col("_first"), first_line_label(F.col("pos"))).otherwise(
+        rest_label("token", marks, places)
+    )
+    # The shifted array is one longer: its last item has no token.
+    return (
+        words.select(*keys, "_first", F.posexplode(shifted).alias("pos", "t"))
+        .where(F.col("t.token").isNotNull())
+        .select(*keys, "_first", "pos", "t.token", "t.previous")
+        .select(*keys, "pos", "token", "previous", label.alias("label"))
+    )
+
+
 def label_counts(
     df: DataFrame, text: str = "text", marks: list[str] | None = None, places: list[str] | None = None
 ) -> DataFrame:
     """Tokens per label over all messages.
 
-    The label comes after the explode here: plain columns stay in generated code, and
-    the count is combined before its one tiny shuffle.
+    Line by line, so that every step is a plain column in generated code (a per-message
+    column carried through the explode would be computed again for each token); the count
+    is combined before its one tiny shuffle.
     """
     lines = df.select(F.posexplode(text_lines(text)).alias("line", "body"))
     tokens = lines.select("line", F.posexplode(ws_tokens("body")).alias("pos", "token"))

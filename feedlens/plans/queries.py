@@ -67,7 +67,8 @@ def sentences(spark, sf):
 
 
 def split_tokens(spark, sf):
-    return T.split_tokens(sentences(spark, sf))
+    messages = posts(spark, sf).withColumn("test", D.is_test("id"))
+    return T.split_tokens(D.labeled_tokens(messages, keep=["test"]))
 
 
 def tagged(spark, sf):
@@ -182,7 +183,10 @@ def default_views(spark, sf):
 @query
 def default_entities(spark, sf):
     filled = C.default_entities(posts(spark, sf), column="text")
-    return filled.select("id", F.posexplode("entities").alias("pos", "e")).select("id", "pos", "e.*")
+    # The outer form keeps Catalyst from adding a filter on the array, for which it would
+    # be built twice; texts without entities are dropped by their position.
+    rows = filled.select("id", F.posexplode_outer("entities").alias("pos", "e"))
+    return rows.where(F.col("pos").isNotNull()).select("id", "pos", "e.*")
 
 
 @query
@@ -356,13 +360,13 @@ def truncate_pad(spark, sf):
 
 @query
 def train_tagger(spark, sf):
-    train = D.token_rows(sentences(spark, sf).where(~D.is_test("sid")))
+    train = D.labeled_tokens(posts(spark, sf).where(~D.is_test("id")))
     return G.model_rows(G.train_tagger(train, G.VARIANTS[VARIANT]))
 
 
 @query
 def argmax_labels(spark, sf):
-    train = D.token_rows(sentences(spark, sf).where(~D.is_test("sid")))
+    train = D.labeled_tokens(posts(spark, sf).where(~D.is_test("id")))
     scores = G.model_rows(G.train_tagger(train, ["token"])).withColumn(
         "label_id", F.array_position(F.array(*map(F.lit, rules.TAGS)), F.col("label"))
     )
@@ -395,8 +399,7 @@ def mask_pairs(spark, sf):
 
 @query
 def entity_spans(spark, sf):
-    rows = D.token_rows(sentences(spark, sf))
-    return M.entity_spans(rows, tag="label")
+    return M.entity_spans(D.labeled_tokens(posts(spark, sf)), tag="label")
 
 
 @query
@@ -466,7 +469,7 @@ def highlight_entities(spark, sf):
 @query
 def label_names(spark, sf):
     index = F.array_position(F.lit(["O", "B-PRODUCT", "I-PRODUCT"]), F.col("label")) - 1
-    rows = D.token_rows(sentences(spark, sf)).select(
+    rows = D.labeled_tokens(posts(spark, sf)).select(
         F.when(index >= 0, F.concat(F.lit("LABEL_"), index.cast("string"))).alias("name")
     )
     named = rows.withColumn("label", L.label_name("name"))

@@ -13,11 +13,12 @@ from feedlens.operators import tagging as G
 from feedlens.session import stored
 
 
-def split_tokens(sentences: DataFrame) -> DataFrame:
+def split_tokens(rows: DataFrame) -> DataFrame:
     """Token rows with the split in ``test``, stored by it: training and evaluation each
     read their own part, several times, without labelling the messages again."""
-    marked = sentences.withColumn("test", D.is_test("sid"))
-    return stored(D.token_rows(marked, keep=["test"]), "tokens", partition_by=["test"])
+    if "test" not in rows.columns:
+        rows = rows.withColumn("test", D.is_test("sid"))
+    return stored(rows, "tokens", partition_by=["test"])
 
 
 def train_part(tokens: DataFrame) -> DataFrame:

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedlens.functions.text import WS, _col, ws_tokens
+from feedlens.functions.text import NOT_WS, WS, WS_CHARS, _col
 
 # Newline, then lines of nothing but whitespace.
 _BLANK_LINES = rf"\n({WS}*\n)+"
+# Whitespace inside a line, and a line of exactly two fields.
+_GAP = r"[\t\x{0B}-\r\x{1C}-\x{20}" + WS_CHARS[WS_CHARS.index(r"\x{85}"):] + "]"
+_PAIR_LINE = f"(?md)^{_GAP}*{NOT_WS}+{_GAP}+{NOT_WS}+{_GAP}*$"
 
 
 def conll_block(tokens: Column | str) -> Column:
@@ -30,15 +33,18 @@ def read_conll(spark: SparkSession, path: str, line_sep: str = "\n\n") -> DataFr
     (``"\\r\\n\\r\\n"``) to be split between tasks. ``sid`` is unique per read.
     """
     raw = spark.read.option("lineSep", line_sep).text(path)
-    block = F.explode(F.split(F.replace(raw["value"], F.lit("\r\n"), F.lit("\n")), _BLANK_LINES))
-    blocks = raw.select(block.alias("block"))
+    text = F.regexp_replace("value", r"\r\n?", "\n")
+    blocks = raw.select(F.explode(F.split(text, _BLANK_LINES)).alias("block"))
 
+    # Gaps become tabs once per block, so that each line splits at a plain character.
+    lines = F.split(F.regexp_replace("block", _GAP + "+", "\t"), "\n")
     pairs = F.filter(
-        F.transform(F.split("block", "\n"), ws_tokens), lambda parts: F.size(parts) == 2
+        F.transform(lines, lambda line: F.array_remove(F.split(line, "\t"), "")),
+        lambda parts: F.size(parts) == 2,
     )
     tokens = F.transform(pairs, lambda p: F.struct(p[0].alias("token"), p[1].alias("label")))
-    return (
-        blocks.select(tokens.alias("tokens"))
-        .where(F.size("tokens") > 0)
-        .select(F.monotonically_increasing_id().alias("sid"), "tokens")
+    # The filter looks for one line of two fields; a filter on the parsed tokens would
+    # parse every sentence twice.
+    return blocks.where(F.col("block").rlike(_PAIR_LINE)).select(
+        F.monotonically_increasing_id().alias("sid"), tokens.alias("tokens")
     )

@@ -43,6 +43,9 @@ def test_counts_agree_with_labelled_arrays(spark):
     exploded = D.token_rows(sentences).groupBy("label").count().collect()
     assert counts == {r["label"]: r["count"] for r in exploded}
     assert D.labeled_message_count(sentences).first()["messages"] == 6
+    columns = ["sid", "pos", "token", "previous", "label"]
+    direct = D.labeled_tokens(df).select(columns).collect()
+    assert sorted(direct) == sorted(D.token_rows(sentences).select(columns).collect())
 
 
 def test_labelling_needs_no_exchange(spark):

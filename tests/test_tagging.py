@@ -29,7 +29,7 @@ def sentences(spark):
 
 @pytest.fixture(scope="module")
 def tokens(sentences):
-    return T.split_tokens(sentences)
+    return T.split_tokens(D.token_rows(sentences))
 
 
 def keys_of(feature, row):
