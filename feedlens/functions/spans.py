@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedlens.functions.pieces import _previous
 from feedlens.functions.text import _col
 
 
+def _inside(tag: Column) -> Column:
+    return tag.startswith("B-") | tag.startswith("I-")
+
+
 def tag_type(tag: Column) -> Column:
     """``PRODUCT`` for ``B-PRODUCT`` and ``I-PRODUCT``; NULL outside an entity."""
-    return F.when(tag.startswith("B-") | tag.startswith("I-"), F.substring(tag, 3, 1 << 20))
+    return F.when(_inside(tag), F.substring(tag, 3, 1 << 20))
 
 
 def opens_span(tag: Column, previous: Column) -> Column:
@@ -29,7 +32,7 @@ def tag_spans(tags: Column | str) -> Column:
     A boundary is a token that opens a span or lies outside; a span runs from its
     boundary to the token before the next one.
     """
-    return _bind(_col(tags), lambda t: _bind(_boundaries(t), lambda b: _between(b, F.size(t))))
+    return _bind(_col(tags), lambda t: _bind(_boundaries(t), lambda b: _between(t, b)))
 
 
 def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -38,29 +41,23 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _boundaries(tags: Column) -> Column:
-    marked = F.zip_with(
-        tags,
-        _previous(tags),
-        lambda t, prev: F.struct(
-            F.when(opens_span(t, prev), tag_type(t)).alias("type"),
-            (opens_span(t, prev) | tag_type(t).isNull()).alias("boundary"),
-        ),
-    )
-    placed = F.transform(
-        marked,
-        lambda m, i: F.struct(m["type"].alias("type"), i.alias("pos"), m["boundary"].alias("boundary")),
-    )
-    return F.filter(placed, lambda m: m["boundary"])
+    """Positions of the boundaries."""
+    def is_boundary(i: Column) -> Column:
+        tag = F.get(tags, i)
+        return ~_inside(tag) | opens_span(tag, F.get(tags, i - 1))
+
+    return F.filter(F.transform(tags, lambda t, i: i), is_boundary)
 
 
-def _between(bounds: Column, length: Column) -> Column:
+def _between(tags: Column, bounds: Column) -> Column:
     following = F.slice(bounds, F.lit(2), F.greatest(F.size(bounds), F.lit(1)))
-    stops = F.concat(F.transform(following, lambda m: m["pos"]), F.array(length))
     spans = F.zip_with(
         bounds,
-        stops,
-        lambda b, stop: F.struct(
-            b["type"].alias("type"), b["pos"].alias("start"), (stop - 1).alias("end")
+        F.concat(following, F.array(F.size(tags))),
+        lambda start, stop: F.struct(
+            tag_type(F.get(tags, start)).alias("type"),
+            start.alias("start"),
+            (stop - 1).alias("end"),
         ),
     )
     # Tokens outside an entity, and the lone stop of an empty sequence, have no type.

@@ -18,6 +18,9 @@ def build_session(master: str | None = None, app: str = "feedlens", **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Tables stored by a column of few values: keep one open file per value, so that
+        # the rows need no sort before the write.
+        "spark.sql.maxConcurrentOutputFileWriters": "16",
         # A long-running dedup keeps one state row per key: keep it off the JVM heap.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
