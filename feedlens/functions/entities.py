@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from feedlens import rules
 from feedlens.functions.numbers import clean_price
-from feedlens.functions.text import WS, _col
+from feedlens.functions.text import WS, _col, bind
 from feedlens.schemas import ENTITY
 
 _JSON_OPTIONS = {"allowSingleQuotes": "true"}
@@ -96,13 +96,16 @@ def top_price(entities: Column | str) -> Column:
 def highlight_entities(text: Column | str, entities: Column | str) -> Column:
     """Text with every entity span (``entity``, ``start``, ``end``; end excluded) wrapped
     in a coloured HTML span."""
-    text = _col(text)
     ordered = F.array_sort(
         F.transform(
             _col(entities),
             lambda e: F.struct(e["start"].alias("start"), e["end"].alias("end"), e["entity"].alias("entity")),
         )
     )
+    return bind(_col(text), lambda t: bind(ordered, lambda o: _highlight(t, o)))
+
+
+def _highlight(text: Column, ordered: Column) -> Column:
     ends = F.concat(F.array(F.lit(0)), F.transform(ordered, lambda e: e["end"].cast("int")))
 
     def cut(start: Column, end: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedlens import rules
-from feedlens.functions.text import _col
+from feedlens.functions.text import _col, bind
 
 SPECIAL_OPEN, SPECIAL_CLOSE = "<s>", "</s>"
 
@@ -47,14 +47,16 @@ def _previous(items: Column) -> Column:
 def align_labels(pieces: Column | str, labels: Column | str, ignored: int = rules.IGNORED_LABEL) -> Column:
     """Label id per piece: the first piece of a word keeps the word's label, later pieces
     and special pieces get ``ignored``."""
+    def align(words: Column, ids: Column) -> Column:
+        return F.zip_with(
+            words,
+            _previous(words),
+            lambda w, prev: F.when(w.isNull() | w.eqNullSafe(prev), F.lit(ignored))
+            .otherwise(F.get(ids, w)),
+        )
+
     words = F.transform(_col(pieces), lambda p: p["word"])
-    labels = _col(labels)
-    return F.zip_with(
-        words,
-        _previous(words),
-        lambda w, prev: F.when(w.isNull() | w.eqNullSafe(prev), F.lit(ignored))
-        .otherwise(F.get(labels, w)),
-    )
+    return bind(_col(labels), lambda ids: bind(words, lambda w: align(w, ids)))
 
 
 def truncate_pieces(pieces: Column | str, length: int = rules.MAX_PIECES) -> Column:

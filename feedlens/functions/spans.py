@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedlens.functions.text import _col
+from feedlens.functions.text import _col, bind
 
 
 def _inside(tag: Column) -> Column:
@@ -32,12 +30,7 @@ def tag_spans(tags: Column | str) -> Column:
     A boundary is a token that opens a span or lies outside; a span runs from its
     boundary to the token before the next one.
     """
-    return _bind(_col(tags), lambda t: _bind(_boundaries(t), lambda b: _between(t, b)))
-
-
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once, however often ``body`` uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return bind(_col(tags), lambda t: bind(_boundaries(t), lambda b: _between(t, b)))
 
 
 def _boundaries(tags: Column) -> Column:

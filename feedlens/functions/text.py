@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -29,6 +30,12 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once, however often ``body`` uses it. Needed where a lambda over an
+    array looks into another one: the other would be built again for every item."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def normalize_ws(c: Column | str) -> Column:
     """Trim and collapse every run of Unicode whitespace to one space."""
     return F.trim(F.regexp_replace(c, WS + "+", " "))

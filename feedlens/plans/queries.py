@@ -388,9 +388,10 @@ def mask_pairs(spark, sf):
         D.encode_tags("guess", rules.TAGS).alias("guess"),
     )
     labels = P.align_labels("pieces", "ids")
-    predicted = F.transform(
-        F.transform("pieces", lambda p: p["word"]),
-        lambda w: F.coalesce(F.get("guess", w), F.lit(0)),
+    words = F.transform("pieces", lambda p: p["word"])
+    predicted = X.bind(
+        F.col("guess"),
+        lambda guess: F.transform(words, lambda w: F.coalesce(F.get(guess, w), F.lit(0))),
     )
     pairs = rows.select("sid", P.mask_pairs(predicted, labels).alias("pairs"))
     shown = F.transform("pairs", lambda x: F.concat_ws(":", x["predicted"], x["label"]))
