@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from feedlens import rules
 from feedlens.functions.numbers import round_to
 from feedlens.functions.spans import span_keys
-from feedlens.functions.text import _col
 from feedlens.operators.skew import join_by_key_counts
 from feedlens.session import stored
 

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from feedlens.functions import labels as L
 from feedlens.operators import dataset as D
@@ -95,4 +94,3 @@ def test_hash_split_is_a_partition(spark):
         train, test = D.train_test_split(df, test_share=share, seed=1)
         assert train.union(test).distinct().count() == 1000
         assert abs(test.count() / 1000 - share) < 0.06
-    assert F is not None
