@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlens.llm import byte_bpe, packing, token_counts
+from feedlens.llm import byte_bpe, fertility, language, packing, token_counts
 from feedlens.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,11 +18,21 @@ def query(fn):
     return fn
 
 
+@query
+def op1_language(spark, sf_dir):
+    return language.identify(documents(spark, sf_dir))
+
+
 @query
 def op3_token_counts(spark, sf_dir):
     return token_counts.count_tokens(documents(spark, sf_dir))
 
 
+@query
+def op5_quality(spark, sf_dir):
+    return fertility.quality(documents(spark, sf_dir))
+
+
 @query
 def op6_packing(spark, sf_dir):
     return packing.pack_documents(documents(spark, sf_dir))
