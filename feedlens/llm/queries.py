@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlens.llm import byte_bpe, fertility, language, packing, token_counts
+from feedlens.llm import byte_bpe, fertility, language, near_dedup, packing, token_counts
 from feedlens.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op6_packing(spark, sf_dir):
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+@query
+def op9_near_dedup(spark, sf_dir):
+    return near_dedup.classes(documents(spark, sf_dir))
+
+
 @query
 def op10_byte_bpe(spark, sf_dir):
     return byte_bpe.encode_digests(documents(spark, sf_dir))
