@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlens.llm import byte_bpe, fertility, language, near_dedup, packing, token_counts
+from feedlens.llm import byte_bpe, fertility, language, near_dedup, packing, personal_data, preferences, token_counts
 from feedlens.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,11 +23,24 @@ def op1_language(spark, sf_dir):
     return language.identify(documents(spark, sf_dir))
 
 
+@query
+def op2_personal_data(spark, sf_dir):
+    return personal_data.personal_data(documents(spark, sf_dir))
+
+
 @query
 def op3_token_counts(spark, sf_dir):
     return token_counts.count_tokens(documents(spark, sf_dir))
 
 
+@query
+def op4_preferences(spark, sf_dir):
+    return preferences.preferences(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+ORACLES["op4_preferences"] = preferences.PREFERENCES_SQL
+
+
 @query
 def op5_quality(spark, sf_dir):
     return fertility.quality(documents(spark, sf_dir))
