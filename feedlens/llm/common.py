@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-#: Rows turned into Python objects at a time; a batch of long documents stays small.
-SLICE_ROWS = 256
+#: Rows and bytes of text that a step works on at a time.
+SLICE_ROWS, SLICE_BYTES = 512, 4 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +32,7 @@ def arrow_map(
     """``mapInArrow`` by a function that turns a small batch into the columns of ``schema``.
 
     ``start`` runs once per task and returns that function, so that what it loads or
-    remembers lives as long as the task. A batch has at most ``SLICE_ROWS`` rows.
+    remembers lives as long as the task. A batch is one of :func:`slices`.
     """
     types = StructType.fromDDL(schema)
     names = types.fieldNames()
@@ -39,17 +40,99 @@ def arrow_map(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = start()
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                yield pa.RecordBatch.from_arrays(step(batch.slice(at, SLICE_ROWS)), names=names)
+            for part in slices(batch):
+                yield pa.RecordBatch.from_arrays(step(part), names=names)
 
     return df.mapInArrow(run, types)
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``SLICE_ROWS`` rows and about ``SLICE_BYTES`` of strings;
+    a longer text is a part of its own."""
+    size = np.ones(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type):
+            size += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(size) // SLICE_BYTES
+    at = 0
+    while at < batch.num_rows:
+        end = min(at + SLICE_ROWS, max(at + 1, int(np.searchsorted(group, group[at], side="right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def utf8_bytes(texts: pa.Array) -> list[bytes]:
     """The texts as UTF-8, null as empty."""
     return pc.fill_null(texts, "").cast(pa.binary()).to_pylist()
 
 
+class Recent(dict):
+    """Results by part of a text, computed on first use and remembered for a while.
+
+    Of the parts seen lately between ``most`` and twice as many are kept, which bounds the
+    memory: at ``most`` new ones the generation before the last is forgotten. What was
+    forgotten is computed again, so results do not depend on it.
+    """
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def __missing__(self, part):
+        value = self.old.get(part)
+        if value is None:
+            value = self.compute(part)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[part] = value
+        return value
+
+    def compute(self, part):
+        raise NotImplementedError(type(self).__name__)
+
+
+class Memo(Recent):
+    """Remembers what ``compute`` gives for a list of parts, one result each; it gets all
+    unknown parts of some texts at once."""
+
+    def __init__(self, compute: Callable[[list], list], most: int):
+        super().__init__(most)
+        self.compute = compute
+        self.lacking: set = set()
+        self.misses = 0
+
+    def __missing__(self, part):
+        value = self.old.get(part)
+        if value is None:
+            self.lacking.add(part)
+            self.misses += 1
+        else:
+            self[part] = value
+        return value
+
+    def of(self, texts: list[list]) -> list[list]:
+        """The results of each text's parts."""
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+        get, found, again = self.__getitem__, [], []
+        for parts in texts:
+            before = self.misses
+            found.append(list(map(get, parts)))
+            if self.misses > before:
+                again.append(len(found) - 1)
+        if again:
+            new = list(self.lacking)
+            self.lacking.clear()
+            self.update(zip(new, self.compute(new)))
+            for i in again:
+                results, parts = found[i], texts[i]
+                for j in [j for j, r in enumerate(results) if r is None]:
+                    results[j] = get(parts[j])
+        return found
+
+
 def longs(values) -> pa.Array:
     return pa.array(values, pa.int64())
 

@@ -18,52 +18,55 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from feedlens.llm.common import SLICE_ROWS, utf8_bytes, vocabulary
+from feedlens.llm.common import Memo, slices, utf8_bytes, vocabulary
 from feedlens.llm.word_rule import WordRule
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 MAX_TOKENS = 4096
 MAX_SEGMENTS = 256
-#: What a worker remembers before it starts anew; bounds its memory.
-REMEMBERED_WORDS, REMEMBERED_PARTS = 500_000, 400_000
+#: Words, and parts between white space, that a worker remembers at least.
+REMEMBERED_WORDS, REMEMBERED_PARTS = 300_000, 500_000
 #: Tokens that a task holds before it packs, and what it leaves open for the next round.
-BUFFER_TOKENS, LEFT_TOKENS = 1 << 21, 1 << 17
+BUFFER_TOKENS, LEFT_TOKENS = 1 << 20, 1 << 17
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, loss_tokens bigint")
 
 
-class PartIds(dict):
-    """Ids of each part between ASCII white space (UTF-8 -> little-endian uint32), by the library.
+class PartIds:
+    """Ids of each part between ASCII white space (UTF-8 -> uint32 bytes), by the library.
 
     The library encodes each distinct word once; parts are put together from their words.
     """
 
     def __init__(self, path: str):
         self.rule = WordRule(path)
-        self.words: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.rule.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def learn(self, parts: list[bytes]) -> None:
-        new = [p for p in set(parts) if p not in self]
-        if len(self) + len(new) > REMEMBERED_PARTS:
-            self.clear()
-            new = list(set(parts))
-        texts = [p.decode() for p in new]
-        special = [t for t in texts if "<" in t and self.rule.special.search(t)]
-        split = {t: self.rule.words(t) for t in texts if t not in special}
-        if len(self.words) > REMEMBERED_WORDS:
-            self.words.clear()
-        unknown = list({w for words in split.values() for w in words if w not in self.words})
-        self.words.update(zip(unknown, self._encode(unknown)))
-        own = dict(zip(special, self._encode(special)))
-        word = self.words.__getitem__
-        for part, text in zip(new, texts):
-            self[part] = own[text] if text in own else b"".join(map(word, split[text]))
+        model = self.rule.settings["model"]
+        #: Each word ends with an id of this kind and has no other, so words can be encoded in
+        #: one text and told apart.
+        self.ends = np.zeros(self.rule.library.get_vocab_size(), bool)
+        for token, i in model["vocab"].items():
+            self.ends[i] = token.endswith(model["end_of_word_suffix"])
+        self.words = Memo(self._word_ids, REMEMBERED_WORDS)
+        self.parts = Memo(self._part_ids, REMEMBERED_PARTS)
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.rule.library.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        ids = self._encode(" ".join(words))
+        last = [0, *((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()]
+        raw = ids.tobytes()
+        if len(last) != len(words) + 1:  # a sign that the vocabulary lacks
+            return [self._encode(w).tobytes() for w in words]
+        return [raw[a:b] for a, b in zip(last, last[1:])]
+
+    def _part_ids(self, parts: list[bytes]) -> list[bytes]:
+        texts = [p.decode() for p in parts]
+        special = {t: self._encode(t).tobytes() for t in texts if "<" in t and self.rule.special.search(t)}
+        found = self.words.of([[] if t in special else self.rule.words(t) for t in texts])
+        return [special[t] if t in special else b"".join(ids) for t, ids in zip(texts, found)]
 
 
 @functools.lru_cache(1)
@@ -72,18 +75,14 @@ def part_ids(path: str) -> PartIds:
     return PartIds(path)
 
 
-def document_ids(texts: list[bytes], path: str, end_id: int | None) -> list[np.ndarray]:
+def document_ids(texts: pa.Array, path: str, end_id: int | None) -> list[np.ndarray]:
     """Ids of each text as the library gives them for the whole text, then ``end_id``.
 
     No token of this vocabulary spans white space, so a text's ids are those of its parts.
     """
-    known, split = part_ids(path), [t.split() for t in texts]
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-    out = []
-    for parts in split:
-        known.learn(parts)
-        out.append(np.frombuffer(b"".join(map(known.__getitem__, parts)) + end, "<u4"))
-    return out
+    end = b"" if end_id is None else np.array([end_id], np.uint32).tobytes()
+    found = part_ids(path).parts.of([t.split() for t in utf8_bytes(texts)])
+    return [np.frombuffer(b"".join(ids) + end, np.uint32) for ids in found]
 
 
 @dataclass(frozen=True)
@@ -120,38 +119,36 @@ class Packer:
 
     def pack(self, until: int) -> Iterator[tuple]:
         """Fills whole sequences while more than ``until`` tokens are open."""
-        limit = self.limits
-        pieces = self.open
-        demand = np.array([(p[2], 1, self.loss(p)) for p in pieces], float).reshape(-1, 3)
-        alive = np.ones(len(pieces), bool)
-        total = limit.vector()
-        weight = 1 / total ** 2  # both sides of the product as shares of the limit
+        limit, pieces = self.limits, self.open
+        tokens = np.array([p[2] for p in pieces], float)
+        loss = np.array([self.loss(p) for p in pieces], float)  # infinite once placed
         while self.tokens > max(until, limit.tokens - 1):
-            left, placed = total.copy(), []
+            left, placed = limit.vector(), []
             while left[0] > 0 and left[1] > 0:
-                fits = alive & (demand <= left).all(axis=1)
-                if fits.any():
-                    best = int(np.where(fits, demand @ (weight * left), -1.0).argmax())
-                    alive[best] = False
-                    placed.append(pieces[best])
-                    left -= demand[best]
+                # Both sides of the dot product as shares of the limits; the share of a segment
+                # is the same for all pieces.
+                score = tokens * (left[0] / limit.tokens ** 2) + loss * (left[2] / limit.loss ** 2)
+                score[(tokens > left[0]) | (loss > left[2])] = -1
+                best = int(score.argmax())
+                if score[best] >= 0:
+                    piece = pieces[best]
+                    placed.append(piece)
+                    left -= (piece[2], 1, loss[best])
+                    loss[best] = np.inf
                     continue
                 # Nothing fits whole: cut the largest open piece.
-                at = int(np.where(alive, demand[:, 0], -1.0).argmax()) if alive.any() else -1
-                if at < 0:
+                at = int(np.where(loss < np.inf, tokens, -1).argmax())
+                if loss[at] == np.inf or not (take := self._cut(pieces[at], left)):
                     break
                 key, start, length, flags = pieces[at]
-                take = self._cut(pieces[at], left)
-                if not take:
-                    break
                 placed.append((key, start, take, flags))
                 left -= (take, 1, self.loss(placed[-1]))
                 pieces[at] = (key, start + take, length - take, flags)
-                demand[at] = (length - take, 1, self.loss(pieces[at]))
+                tokens[at], loss[at] = length - take, self.loss(pieces[at])
             if not placed:
                 raise ValueError("a single token exceeds the limits of a sequence")
             yield from self._close(placed)
-        self.open = [p for p, a in zip(pieces, alive) if a]
+        self.open = [p for p, x in zip(pieces, loss) if x < np.inf]
 
     def _cut(self, piece, left: np.ndarray) -> int:
         """Tokens of ``piece`` that what is ``left`` of a sequence can take."""
@@ -219,7 +216,7 @@ def pack_documents(
             out = []
             for key, start, length, loss, sequence, offset in placed:
                 doc_id, ids = held[key]
-                crc = zlib.crc32(ids[start:start + length].tobytes())
+                crc = zlib.crc32(ids[start:start + length].astype("<u4").tobytes())
                 out.append((doc_id, start, length, crc, len(ids), base + sequence, offset, loss))
             open_keys = {p[0] for p in packer.open}
             for key in [k for k in held if k not in open_keys]:
@@ -229,9 +226,8 @@ def pack_documents(
                 [pa.array(c, pa.int64()) for c in columns], names=types.fieldNames())
 
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
-                ids = document_ids(utf8_bytes(part.column(1)), path, end_id)
+            for part in slices(batch):
+                ids = document_ids(part.column(1), path, end_id)
                 for doc_id, own in zip(part.column(0).to_pylist(), ids):
                     if len(own):
                         held[number] = doc_id, own
