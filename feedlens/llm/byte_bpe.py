@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +22,11 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from feedlens.llm.byte_table import byte_characters
-from feedlens.llm.common import arrow_map, longs, vocabulary
+from feedlens.llm.common import Memo, arrow_map, longs, vocabulary
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Pieces that a worker remembers before it starts anew; bounds its memory.
-REMEMBERED = 300_000
+#: Words that a worker remembers at least.
+REMEMBERED = 500_000
 
 DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
@@ -55,25 +56,24 @@ class ByteBpe:
         # Only to check the library's answer: among different cuts of one token the rank file
         # prefers the leftmost place, the merge list its own order.
         self.check = tiktoken.Encoding("check", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, pieces: list[str]) -> None:
-        known = self.known
-        new = [p for p in set(pieces) if p not in known]
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(set(pieces))
-        for piece, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
+        self.known = Memo(self._piece_ids, REMEMBERED)
+
+    def _piece_ids(self, pieces: list[str]) -> list[bytes]:
+        out = []
+        for piece, found in zip(pieces, self.library.encode_batch_fast(pieces, add_special_tokens=False)):
             ids = found.ids
             if len(ids) > 1 and (exact := self.check._encode_single_piece(piece)) != ids:
                 ids = exact
-            known[piece] = np.array(ids, "<u4").tobytes()
+            out.append(array("I", ids).tobytes())
+        return out
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each whole text, each match of the pattern separately."""
+        found = self.known.of([self.pieces(t) for t in texts])
+        return [np.frombuffer(b"".join(ids), np.uint32) for ids in found]
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of a whole text, each match of the pattern separately."""
-        pieces = self.pieces(text)
-        self._learn(pieces)
-        return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), "<u4")
+        return self.encode_all([text])[0]
 
     def offsets(self, ids: np.ndarray) -> np.ndarray:
         """Byte place in the text where each id starts, and the end of the last."""
@@ -113,8 +113,8 @@ def encode(
 
         def step(batch: pa.RecordBatch) -> list[pa.Array]:
             ids, starts = [], []
-            for text in _texts(batch.column(1)):
-                own = bpe.encode(text)
+            texts = _texts(batch.column(1))
+            for text, own in zip(texts, bpe.encode_all(texts)):
                 raw = np.frombuffer(text.encode(), np.uint8)
                 # Character of each byte: continuation bytes belong to the one before.
                 char = np.cumsum((raw & 0xC0) != 0x80) - 1
@@ -153,10 +153,9 @@ def encode_digests(
 
         def step(batch: pa.RecordBatch) -> list[pa.Array]:
             n, ids_digest, text_digest = [], [], []
-            for text in _texts(batch.column(1)):
-                ids = bpe.encode(text)
+            for ids in bpe.encode_all(_texts(batch.column(1))):
                 n.append(len(ids))
-                ids_digest.append(hashlib.sha256(ids.tobytes()).hexdigest())
+                ids_digest.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())
                 text_digest.append(hashlib.sha256(bpe.decode_bytes(ids)).hexdigest())
             return [batch.column(0).cast(pa.int64()), longs(n), pa.array(ids_digest, pa.string()),
                     pa.array(text_digest, pa.string())]

@@ -17,7 +17,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import arrow_map, free_name, longs, utf8_bytes, vocabulary
+from feedlens.llm.common import Memo, arrow_map, free_name, utf8_bytes, vocabulary
 from feedlens.session import stored
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -33,8 +33,8 @@ MIN_DOCUMENTS = 50
 #: Languages with less than this share of the documents are judged by script, so that there
 #: are at most so many languages with fences of their own, however many there are.
 MIN_LANGUAGE_SHARE = 1 / 1000
-#: What a worker remembers before it starts anew; bounds its memory.
-REMEMBERED = 800_000
+#: Words that a worker remembers at least.
+REMEMBERED = 500_000
 
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -56,20 +56,17 @@ METRICS = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint,
 MEASURES = ("chars_per_token", "byte_share", "entropy")
 
 
-class Pieces(dict):
+class Pieces:
     """Ids of each word (UTF-8) with the space before it, as 16-bit numbers."""
 
     def __init__(self, path: str):
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.is_byte = np.array([self.model.is_byte(i) for i in range(self.model.vocab_size())])
+        self.words = Memo(self._encode, REMEMBERED)
 
-    def learn(self, words: list[bytes]) -> None:
-        new = [w for w in set(words) if w not in self]
-        if len(self) + len(new) > REMEMBERED:
-            self.clear()
-            new = list(set(words))
-        for word, ids in zip(new, self.model.encode([w.decode() for w in new], num_threads=1)):
-            self[word] = array("H", ids).tobytes()
+    def _encode(self, words: list[bytes]) -> list[bytes]:
+        found = self.model.encode([w.decode() for w in words], num_threads=1)
+        return [array("H", ids).tobytes() for ids in found]
 
 
 @functools.lru_cache(1)
@@ -91,32 +88,28 @@ def script_of(text: str) -> str:
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
-    """Words that lie in a window which is found twice or more in the text."""
+    """Words that lie in a window found twice or more in the text."""
     n = len(words) - window + 1
     if n < 2:
         return 0
     # Equal windows have equal hashes, so a text without equal hashes is done.
     hashes = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
-    with np.errstate(over="ignore"):
-        mixed = hashes[:n].copy()
-        for j in range(1, window):
-            mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + hashes[j:n + j]
+    mixed = np.zeros(n, np.uint64)
+    for j in range(window):
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + hashes[j:n + j]
     mixed.sort()
     if not (mixed[1:] == mixed[:-1]).any():
         return 0
-    number: dict[bytes, int] = {}
-    ids = np.array([number.setdefault(w, len(number)) for w in words], np.int64)
     # Numbers of ever longer windows, from those of two shorter ones side by side.
-    length = 1
+    number: dict[bytes, int] = {}
+    ids, length = np.array([number.setdefault(w, len(number)) for w in words], np.int64), 1
     while length < window:
         step = min(length, window - length)
         left, right = ids[:len(ids) - step], ids[step:]
         ids = np.unique(left * (int(ids.max()) + 1) + right, return_inverse=True)[1]
         length += step
-    twice = np.bincount(ids)[ids] > 1
-    edge = np.zeros(len(words) + 1, np.int64)
-    np.add.at(edge, np.flatnonzero(twice), 1)
-    np.add.at(edge, np.flatnonzero(twice) + window, -1)
+    twice = np.flatnonzero(np.bincount(ids)[ids] > 1)
+    edge = np.bincount(twice, minlength=len(words) + 1) - np.bincount(twice + window, minlength=len(words) + 1)
     return int((np.cumsum(edge) > 0).sum())
 
 
@@ -138,13 +131,12 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         is_byte = known.is_byte
 
         def step(batch: pa.RecordBatch) -> list[pa.Array]:
-            rows = []
-            for raw in utf8_bytes(batch.column(1)):
-                text, words = raw.decode(), raw.split()
+            rows, texts = [], utf8_bytes(batch.column(1))
+            split = [raw.split() for raw in texts]
+            for raw, words, found in zip(texts, split, known.words.of(split)):
+                text, ids = raw.decode(), np.frombuffer(b"".join(found), np.uint16)
                 inside = len(text) - (len(raw) - len(raw.translate(None, SPACES)))
                 lines = [x for x in raw.split(b"\n") if x.strip()]
-                known.learn(words)
-                ids = np.frombuffer(b"".join(map(known.__getitem__, words)), np.uint16)
                 n = len(ids)
                 rows.append((
                     len(words), inside, len(raw) - len(raw.translate(None, SYMBOLS)),

@@ -13,15 +13,17 @@ where their classes still differ, so that a large group of copies costs one comp
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import arrow_map, free_name, utf8_bytes
+from feedlens.llm.common import Recent, arrow_map, free_name
 from feedlens.llm.components import components
 from feedlens.session import stored
 
@@ -32,6 +34,8 @@ COORDINATES = BANDS * BAND_ROWS
 #: Darts expected over an area of one: enough to reach nearly every coordinate.
 DARTS = int(COORDINATES * np.log(COORDINATES) + 2 * COORDINATES)
 
+#: Words that a worker remembers at least.
+REMEMBERED = 500_000
 #: Signatures made at a time.
 TOGETHER = 8
 #: Members of a group compared in one unit of work with as many others.
@@ -52,17 +56,35 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return (x >> _U(11)).astype(np.float64) * 2.0 ** -53
 
 
-def shingles(text: bytes) -> np.ndarray:
-    """Hashes of the runs of five lower-case words, with repeats; texts of one to four words
-    have a single one of all words, texts without words none."""
-    words = text.decode().lower().encode().split()
-    if not words:
+class WordHashes(Recent):
+    """Hash of each word (UTF-8)."""
+
+    def compute(self, word: bytes) -> bytes:
+        return xxhash.xxh3_64_digest(word)
+
+
+@functools.lru_cache(1)
+def known_words() -> WordHashes:
+    """One per worker process, kept from task to task."""
+    return WordHashes(REMEMBERED)
+
+
+def word_hashes(texts: pa.Array) -> list[np.ndarray]:
+    """Hashes of each text's lower-case words."""
+    known = known_words().__getitem__
+    return [np.frombuffer(b"".join(map(known, t.lower().encode().split())), "<u8")
+            for t in pc.fill_null(texts, "").to_pylist()]
+
+
+def shingles(words: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of five words, with repeats; texts of one to four words have a
+    single one of all words, texts without words none."""
+    if not len(words):
         return np.zeros(0, np.uint64)
-    digests = np.frombuffer(b"".join([xxhash.xxh3_64_digest(w) for w in words]), "<u8")
     n = max(1, len(words) - SHINGLE_WORDS + 1)
     mixed = np.full(n, _U(min(len(words), SHINGLE_WORDS)))
     for j in range(min(len(words), SHINGLE_WORDS)):
-        mixed = _mix(mixed + digests[j:n + j] * _U(2 * j + 1))
+        mixed = _mix(mixed + words[j:n + j] * _U(2 * j + 1))
     return mixed
 
 
@@ -165,10 +187,10 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """(id, words, bands): id, digest of the word sequence (null without words), band keys."""
     def start():
         def step(batch: pa.RecordBatch) -> list[pa.Array]:
-            texts = utf8_bytes(batch.column(1))
+            texts = word_hashes(batch.column(1))
             words = [word_digest(t) for t in texts]
-            found = iter(band_keys([weighted(shingles(t)) for t, w in zip(texts, words) if w]))
-            keys = [next(found) if w else None for w in words]
+            found = iter(band_keys([weighted(shingles(t)) for t in texts if len(t)]))
+            keys = [next(found) if len(t) else None for t in texts]
             return [batch.column(0).cast(pa.int64()), pa.array(words, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64()))]
         return step
@@ -176,16 +198,15 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return arrow_map(docs.select(id_col, text_col), "id bigint, words binary, bands array<bigint>", start)
 
 
-def word_digest(text: bytes) -> bytes | None:
-    words = text.decode().lower().encode().split()
-    return hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
+def word_digest(words: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(words.tobytes(), digest_size=16).digest() if len(words) else None
 
 
 def elements_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, words, elements): the numbered elements of each text that has words."""
     def start():
         def step(batch: pa.RecordBatch) -> list[pa.Array]:
-            texts = utf8_bytes(batch.column(1))
+            texts = word_hashes(batch.column(1))
             return [batch.column(0).cast(pa.int64()), pa.array([word_digest(t) for t in texts], pa.binary()),
                     pa.array([numbered(shingles(t)).view(np.int64) for t in texts], pa.list_(pa.int64()))]
         return step

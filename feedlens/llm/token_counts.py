@@ -14,13 +14,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from feedlens.llm.byte_table import byte_characters
-from feedlens.llm.common import arrow_map, longs, utf8_bytes, vocabulary
+from feedlens.llm.common import Recent, arrow_map, longs, utf8_bytes, vocabulary
 from feedlens.llm.word_rule import WordRule
 
 VOCABULARY = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
-#: What a worker remembers before it starts anew; bounds its memory.
-REMEMBERED_WORDS, REMEMBERED_PARTS = 800_000, 400_000
+#: Words, and parts between white space, that a worker remembers at least.
+REMEMBERED = 500_000
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
 
@@ -68,10 +68,11 @@ def merged_length(symbols: list[int], ranks: dict[tuple[int, int], int], merged:
     return n - merges
 
 
-class WordCounts(dict):
+class WordCounts(Recent):
     """Tokens of each word that the splitting rule gives, counted on first use."""
 
     def __init__(self, model: dict):
+        super().__init__(REMEMBERED)
         vocab, end = model["vocab"], model["end_of_word_suffix"]
         chars = byte_characters()
         #: Initial symbol of each byte inside a word, and at its end.
@@ -82,40 +83,28 @@ class WordCounts(dict):
             self.ranks[vocab[left], vocab[right]] = rank
             self.merged.append(vocab[left + right])
 
-    def __missing__(self, word: str) -> int:
+    def compute(self, word: str) -> int:
         raw = word.encode()
         symbols = [self.inner[b] for b in raw]
         symbols[-1] = self.last[raw[-1]]
-        n = merged_length(symbols, self.ranks, self.merged)
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = n
-        return n
+        return merged_length(symbols, self.ranks, self.merged)
 
 
-class PartCounts(dict):
+class PartCounts(Recent):
     """Tokens of each part between ASCII white space (UTF-8), counted on first use."""
 
     def __init__(self, path: str):
+        super().__init__(REMEMBERED)
         self.rule = WordRule(path)
         self.counts = WordCounts(self.rule.settings["model"])
 
-    def __missing__(self, part: bytes) -> int:
+    def compute(self, part: bytes) -> int:
         text, counts = part.decode(), self.counts
-        if "<" in text:
-            # Odd places of the split are special strings, one token each.
-            cut = self.rule.special.split(text)
-            n = len(cut) // 2 + sum(counts[w] for plain in cut[::2] if plain for w in self.rule.words(plain))
-        else:
-            n = 0
-            for w in self.rule.words(text):
-                n += counts[w]
-        if len(self) >= REMEMBERED_PARTS:
-            self.clear()
-        if len(part) <= 64:
-            self[part] = n
-        return n
+        if "<" not in text:
+            return sum(map(counts.__getitem__, self.rule.words(text)))
+        # Odd places of the split are special strings, one token each.
+        cut = self.rule.special.split(text)
+        return len(cut) // 2 + sum(counts[w] for plain in cut[::2] if plain for w in self.rule.words(plain))
 
 
 @functools.lru_cache(1)
@@ -140,7 +129,7 @@ def count_tokens(
             texts = utf8_bytes(batch.column(1))
             n = [sum(map(counts, t.split())) for t in texts]
             return [batch.column(0).cast(pa.int64()), longs([len(t) for t in texts]), longs(n),
-                    pa.array([x > limit for x in n])]
+                    pa.array([x > limit for x in n], pa.bool_())]
         return step
 
     return arrow_map(docs.select(id_col, text_col), SCHEMA, start)
