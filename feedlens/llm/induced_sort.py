@@ -79,20 +79,21 @@ def _induce(s: np.ndarray, small: np.ndarray, sorted_lms: np.ndarray, sigma: int
     return array
 
 
-def _sorted_lms(s: np.ndarray, lms: np.ndarray, depth: int) -> np.ndarray:
+def _sorted_lms(s: np.ndarray, small: np.ndarray, lms: np.ndarray, depth: int) -> np.ndarray:
     """LMS places in the order of their suffixes, as far as ``depth`` signs decide it.
 
     The substring from an LMS place to the next is named by its rank; then the text of the
     names is sorted by ranks of twice as many names each round.
     """
     size = np.minimum(np.r_[np.diff(lms) + 1, len(s) - lms[-1]], depth)
-    padded = np.concatenate([s.astype(np.int64) + 1, np.zeros(8, np.int64)])
+    # Of equal signs an L is smaller than an S.
+    padded = np.concatenate([s * 2 + small + 1, np.zeros(8, np.int64)])
     ranks = np.zeros(len(lms), np.int64)
     covered = 0
     while covered < size.max():  # four signs at a time; shorter substrings end in zeros
         key = np.zeros(len(lms), np.int64)
         for j in range(covered, covered + 4):
-            key = key * 512 + np.where(j < size, padded[np.minimum(lms + j, len(s))], 0)
+            key = key * 1024 + np.where(j < size, padded[np.minimum(lms + j, len(s))], 0)
         pair = np.unique(key, return_inverse=True)[1]
         ranks = np.unique(ranks * (len(lms) + 1) + pair, return_inverse=True)[1]
         covered += 4
@@ -115,7 +116,7 @@ def suffix_array(s: np.ndarray, sigma: int, depth: int | None = None) -> np.ndar
     ended = np.concatenate([np.asarray(s, np.int64) + 1, [0]])
     small = _types(ended)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-    ordered = _sorted_lms(ended, lms, len(ended) if depth is None else depth)
+    ordered = _sorted_lms(ended, small, lms, len(ended) if depth is None else depth)
     return _induce(ended, small, ordered, sigma + 1)[1:]
 
 

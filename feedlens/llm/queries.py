@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedlens.llm import byte_bpe, fertility, language, near_dedup, packing, personal_data, preferences, token_counts
+from feedlens.llm import (
+    byte_bpe, fertility, language, near_dedup, neighbours, packing, personal_data, preferences,
+    suffix_dedup, token_counts,
+)
 from feedlens.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +54,16 @@ def op6_packing(spark, sf_dir):
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+@query
+def op7_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.removal_digests(documents(spark, sf_dir))
+
+
+@query
+def op8_neighbours(spark, sf_dir):
+    return neighbours.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 @query
 def op9_near_dedup(spark, sf_dir):
     return near_dedup.classes(documents(spark, sf_dir))
