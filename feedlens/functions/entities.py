@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-import ast
-import json
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from feedlens import rules
 from feedlens.functions.numbers import clean_price
@@ -19,20 +14,32 @@ _JSON_OPTIONS = {"allowSingleQuotes": "true"}
 _ENTITY_LIST = f"array<{ENTITY.simpleString()}>"
 
 
+# Parts of a Python literal: quoted text, brackets and separators, bare words.
+_LITERAL_PARTS = r"""(?s)"(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*'|[\[\]{}(),:]|[^\s\[\]{}(),:'"]+"""
+_JSON_WORDS = {"None": "null", "True": "true", "False": "false", "(": "[", ")": "]"}
+
+
 def _literal_to_json(c: Column) -> Column:
-    # Defined here so that it travels to the workers by value.
-    @F.pandas_udf(T.StringType())
-    def run(texts: pd.Series) -> pd.Series:
-        def convert(text):
-            try:
-                value = ast.literal_eval(text)
-            except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
-                return None
-            return json.dumps(value, default=str) if isinstance(value, list) else None
+    """A list as Python writes it -> JSON: quotes, escapes, tuples, None and truth values.
+    What is inside quotes stays as it is."""
+    parts = F.regexp_extract_all(c, F.lit(_LITERAL_PARTS), F.lit(0))
+
+    def text(part: Column) -> Column:
+        inner = F.substr(part, F.lit(2), F.length(part) - 2)
+        inner = F.regexp_replace(inner, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
+        inner = F.regexp_replace(inner, r"\\'", "'")
+        inner = F.regexp_replace(inner, r'(?<!\\)"', r'\\"')
+        return F.concat(F.lit('"'), inner, F.lit('"'))
 
-        return texts.map(convert, na_action="ignore")
+    def rewritten(parts: Column, part: Column, i: Column) -> Column:
+        out = F.when(part.startswith("'") | part.startswith('"'), text(part))
+        for word, plain in _JSON_WORDS.items():
+            out = out.when(part == word, plain)
+        # A comma before a closing bracket means nothing.
+        last = (part == ",") & F.get(parts, i + 1).isin("]", "}", ")")
+        return out.when(last, "").otherwise(part)
 
-    return run(c)
+    return bind(parts, lambda own: F.array_join(F.transform(own, lambda p, i: rewritten(own, p, i)), ""))
 
 
 def _parse_json(c: Column) -> Column:
@@ -41,12 +48,13 @@ def _parse_json(c: Column) -> Column:
     return F.transform(items, lambda x: F.from_json(x, ENTITY, _JSON_OPTIONS))
 
 
-def parse_entities(c: Column | str, python_literals: bool = False) -> Column:
+def parse_entities(c: Column | str, python_literals: bool = True) -> Column:
     """Text of a list of records -> ``array<struct<label,word,price>>``; anything else
     gives an empty list.
 
-    JSON and single-quoted text is parsed in the JVM. ``python_literals`` also reads
-    spellings only Python has (``None``, tuples); only those rows reach Python.
+    JSON and single-quoted text is parsed as it is. Unless ``python_literals`` is off, what
+    that does not read is parsed as a Python literal (``None``, ``True``, ``\\x`` escapes,
+    tuples), so that one such record does not void its list.
     """
     c = _col(c)
     listed = F.when(c.rlike(rf"(?s)^{WS}*\[.*\]{WS}*$"), c)

@@ -19,8 +19,9 @@ def file_name(path: Column | str) -> Column:
 
 
 def image_channel(name: Column | str, compat: bool = False) -> Column:
-    """Channel of a photo name; ``compat`` cuts at the first underscore."""
+    """Channel of a photo name; ``compat`` cuts at the first underscore. A name without a
+    message number is a channel as it stands, without its ending."""
     name = _col(name)
     if compat:
         return F.substring_index(name, "_", 1)
-    return F.regexp_extract(name, r"^(.*)_\d+\.jpg$", 1)
+    return F.regexp_replace(F.regexp_replace(name, r"\.jpg$", ""), r"_\d+$", "")

@@ -59,8 +59,9 @@ def align_labels(pieces: Column | str, labels: Column | str, ignored: int = rule
     return bind(_col(labels), lambda ids: bind(words, lambda w: align(w, ids)))
 
 
-def truncate_pieces(pieces: Column | str, length: int = rules.MAX_PIECES) -> Column:
-    """At most ``length`` pieces; a closing special piece stays the last one."""
+def truncate_pieces(pieces: Column | str, length: int) -> Column:
+    """At most ``length`` pieces; a closing special piece stays the last one. What is cut is
+    lost; :func:`piece_windows` keeps every piece."""
     pieces = _col(pieces)
     last = F.element_at(pieces, -1)
     cut = F.when(
@@ -70,12 +71,20 @@ def truncate_pieces(pieces: Column | str, length: int = rules.MAX_PIECES) -> Col
     return F.when(F.size(pieces) > length, cut).otherwise(pieces)
 
 
-def truncate_labels(label_ids: Column | str, length: int = rules.MAX_PIECES) -> Column:
+def truncate_labels(label_ids: Column | str, length: int) -> Column:
     return F.slice(_col(label_ids), 1, length)
 
 
+def piece_windows(pieces: Column | str, length: int) -> Column:
+    """The pieces in runs of at most ``length``, each piece in exactly one run."""
+    return bind(_col(pieces), lambda p: F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(p) - 1, F.lit(0)), F.lit(length)),
+        lambda start: F.slice(p, start + 1, F.lit(length)),
+    ))
+
+
 def pad_labels(
-    label_ids: Column | str, length: int = rules.MAX_PIECES, ignored: int = rules.IGNORED_LABEL
+    label_ids: Column | str, length: int, ignored: int = rules.IGNORED_LABEL
 ) -> Column:
     """Fill up to ``length`` with ignored labels."""
     label_ids = _col(label_ids)

@@ -14,7 +14,7 @@ def _inside(tag: Column) -> Column:
 
 def tag_type(tag: Column) -> Column:
     """``PRODUCT`` for ``B-PRODUCT`` and ``I-PRODUCT``; NULL outside an entity."""
-    return F.when(_inside(tag), F.substring(tag, 3, 1 << 20))
+    return F.when(_inside(tag), F.substr(tag, F.lit(3)))
 
 
 def opens_span(tag: Column, previous: Column) -> Column:

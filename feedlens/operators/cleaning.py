@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens import rules
 from feedlens.functions.labels import label_message
 from feedlens.functions.media import media_path
 from feedlens.functions.numbers import NUMBER
@@ -106,12 +105,22 @@ def entities_of(tokens: Column) -> Column:
     return F.transform(spans, record).cast(f"array<{ENTITY.simpleString()}>")
 
 
-def channel_filter(df: DataFrame, channels: list[str] | DataFrame) -> DataFrame:
+def channel_filter(
+    df: DataFrame, channels: list[str] | DataFrame, literal: bool = True
+) -> DataFrame:
     """Keep the listed channels; a long list comes as a DataFrame with ``channel_username``
-    and is joined (Catalyst broadcasts it if it is small enough)."""
+    and is joined (Catalyst broadcasts it if it is small enough).
+
+    ``literal`` compares names as they are written; otherwise ``@name`` and ``name`` are
+    one channel, on both sides.
+    """
+    name = F.col("channel_username") if literal else canonical_username("channel_username")
     if isinstance(channels, DataFrame):
-        return df.join(channels.select("channel_username"), "channel_username", "left_semi")
-    return df.where(F.col("channel_username").isin(list(channels)))
+        own = channels.select("channel_username") if literal else same_channel_name(channels)
+        listed = own.select(F.col("channel_username").alias("_listed"))
+        return df.join(listed, name == F.col("_listed"), "left_semi")
+    listed = [F.lit(c) if literal else canonical_username(F.lit(c)) for c in channels]
+    return df.where(name.isin(listed))
 
 
 def same_channel_name(df: DataFrame) -> DataFrame:
@@ -120,11 +129,11 @@ def same_channel_name(df: DataFrame) -> DataFrame:
 
 
 def preview(
-    df: DataFrame, columns: list[str], order_by: list[str | Column], n: int = rules.PREVIEW_ROWS
+    df: DataFrame, columns: list[str], order_by: list[str | Column], n: int
 ) -> DataFrame:
     """First ``n`` rows of some columns in an explicit order."""
     return df.orderBy(*order_by).limit(n).select(columns)
 
 
-def first_n(df: DataFrame, order_by: list[str | Column], n: int = rules.LABELLED_MESSAGES) -> DataFrame:
+def first_n(df: DataFrame, order_by: list[str | Column], n: int) -> DataFrame:
     return df.orderBy(*order_by).limit(n)

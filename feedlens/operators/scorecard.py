@@ -96,9 +96,11 @@ def top_post(df: DataFrame, text: str = "message", order: str = "id") -> DataFra
         .agg(top_of(F.struct(F.col(order), F.col("views")), order).alias("top"))
         .select("vendor", F.col(f"top.{order}").alias(order), F.col("top.views").alias("views"))
     )
-    winners, _ = broadcast_if_small(stored(winners, "winners"))
-    texts = df.select("vendor", order, F.col(text).alias("message"))
-    return texts.join(winners, ["vendor", order]).select("vendor", "message", "views")
+    winners, _ = broadcast_if_small(stored(winners.withColumnRenamed("views", "_top"), "winners"))
+    texts = with_vendor(df).select("vendor", order, "views", F.col(text).alias("message"))
+    found = texts.join(winners, ["vendor", order]).where(F.col("views").eqNullSafe(F.col("_top")))
+    # A message that landed twice, or the same id in two channels of one title: one of them.
+    return found.groupBy("vendor").agg(F.min("message").alias("message"), F.first("views").alias("views"))
 
 
 def top_products(df: DataFrame, order: str = "id") -> DataFrame:

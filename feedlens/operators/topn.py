@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedlens import rules
-
 
 def top_n_per_group(
     df: DataFrame, keys: list[str], order_by: list[Column], spread_by: list[str], n: int, salts: int | None = None
@@ -31,14 +29,12 @@ def top_n_per_group(
     )
 
 
-def latest_n_per_channel(df: DataFrame, n: int = rules.BACKFILL_LIMIT) -> DataFrame:
+def latest_n_per_channel(df: DataFrame, n: int) -> DataFrame:
     """The newest ``n`` messages of every channel."""
     return top_n_per_group(df, ["channel_username"], [F.desc("id")], ["id"], n)
 
 
-def head_per_channel(
-    df: DataFrame, channels: list[str] | None = None, n: int = rules.PREVIEW_ROWS
-) -> DataFrame:
+def head_per_channel(df: DataFrame, n: int, channels: list[str] | None = None) -> DataFrame:
     """The first ``n`` messages of every (listed) channel."""
     if channels is not None:
         df = df.where(F.col("channel_username").isin(channels))

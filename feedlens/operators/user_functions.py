@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedlens.functions.text import _col
 
@@ -36,6 +37,7 @@ def apply_per_group(
     finish: Callable[[dict], dict],
     state_schema: str,
     result_schema: str,
+    max_states: int = 10_000,
 ) -> DataFrame:
     """A Python aggregate per group that never needs a whole group in one place.
 
@@ -43,11 +45,15 @@ def apply_per_group(
     rows of one group, ``finish`` turns the last state into the result row. Each task
     reduces its rows to one state per group before the shuffle, and states meet in two
     rounds (by group and salt, then by group), so a hot group costs no more than any other.
+    A task hands its states on when it holds ``max_states`` of them; the rounds merge them.
     """
     salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key_type = df.schema[key].dataType.simpleString()
-    names = [part.strip().split()[0] for part in state_schema.split(",")]
-    out_names = [part.strip().split()[0] for part in result_schema.split(",")]
+    names = T.StructType.fromDDL(state_schema).fieldNames()
+    out_names = T.StructType.fromDDL(result_schema).fieldNames()
+
+    def as_frame(states: dict) -> pd.DataFrame:
+        return pd.DataFrame([{key: k, **s} for k, s in states.items()], columns=[key, *names])
 
     def reduce_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         states: dict = {}
@@ -57,8 +63,11 @@ def apply_per_group(
                 if value in states:
                     state = merge(pd.DataFrame([states[value], state], columns=names))
                 states[value] = state
+            if len(states) >= max_states:
+                yield as_frame(states)
+                states = {}
         if states:
-            yield pd.DataFrame([{key: k, **s} for k, s in states.items()], columns=[key, *names])
+            yield as_frame(states)
 
     def merge_group(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([{key: rows[key].iloc[0], **merge(rows[names])}], columns=[key, *names])

@@ -460,7 +460,10 @@ ORACLES: dict[str, str] = {
         select id, 0 as pos, 'I-PRICE' as label, '5' as word, '5' as price from messages where ent_word is not null
         union all
         select id, 1, 'B-PRODUCT', ent_word, cast(ent_price as varchar) || ' ETB' from messages
-        where ent_word is not null""",
+        where ent_word is not null
+        union all
+        select id, 2, 'I-PRODUCT', 'x' || chr(160) || 'y', null from messages
+        where ent_word is not null and id % 7 = 1""",
     "avg_price": f"""with {SCORED} select vendor, coalesce({rounded('avg(ent_price)')}, 0) as avg_price
         from scored group by vendor""",
     "top_post": f"with {SCORED} select vendor, message, views from scored qualify {TOP}",

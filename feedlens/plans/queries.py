@@ -55,11 +55,11 @@ def joined(array: Column, separator: str = " ") -> Column:
 
 
 def light(spark, sf):
-    return shop_tables.posts(spark, sf)
+    return shop_tables.to_posts(shop_tables.read(spark, sf, "documents"))
 
 
 def posts(spark, sf):
-    return shop_tables.posts(spark, sf, spread=True)
+    return shop_tables.posts(spark, sf)
 
 
 def sentences(spark, sf):
@@ -161,7 +161,7 @@ def drop_null_text(spark, sf):
 
 @query
 def first_n_messages(spark, sf):
-    return C.first_n(C.drop_null_text(light(spark, sf)), ["id"]).select("id", "message")
+    return C.first_n(C.drop_null_text(light(spark, sf)), ["id"], rules.LABELLED_MESSAGES).select("id", "message")
 
 
 @query
@@ -196,7 +196,7 @@ def channel_filter(spark, sf):
 
 @query
 def preview(spark, sf):
-    return C.preview(light(spark, sf), ["channel_username", "message"], ["id"])
+    return C.preview(light(spark, sf), ["channel_username", "message"], ["id"], rules.PREVIEW_ROWS)
 
 
 # ---- C: text functions -----------------------------------------------------------
@@ -349,10 +349,10 @@ def align_labels(spark, sf):
 
 @query
 def truncate_pad(spark, sf):
-    cut = _pieces(spark, sf, True).withColumn("pieces", P.truncate_pieces("pieces"))
+    cut = _pieces(spark, sf, True).withColumn("pieces", P.truncate_pieces("pieces", rules.MAX_PIECES))
     aligned = cut.withColumn("label_ids", P.align_labels("pieces", "ids"))
     return aligned.select(
-        "sid", F.size("pieces").alias("pieces"), joined(P.pad_labels("label_ids")).alias("label_ids")
+        "sid", F.size("pieces").alias("pieces"), joined(P.pad_labels("label_ids", rules.MAX_PIECES)).alias("label_ids")
     )
 
 
@@ -488,6 +488,11 @@ def scored_posts(spark, sf):
     return S.scorecard_input(shop_tables.messages(spark, sf))
 
 
+def scored_texts(spark, sf):
+    """Scored posts whose entities are text, as message files hold them."""
+    return scored_posts(spark, sf).withColumn("entities", _entity_text())
+
+
 @query
 def vendor_groups(spark, sf):
     return S.vendor_groups(scored_posts(spark, sf))
@@ -503,7 +508,7 @@ def avg_views(spark, sf):
     return S.avg_views(scored_posts(spark, sf))
 
 
-def _entity_text(spark, sf):
+def _entity_text():
     """Entities as the single-quoted text a CSV file holds."""
     item = F.transform(
         "entities",
@@ -512,31 +517,35 @@ def _entity_text(spark, sf):
             F.lit("', 'price': '"), e["price"], F.lit("'}"),
         ),
     )
-    text = F.concat(F.lit("["), F.array_join(item, ", "), F.lit("]"))
-    return shop_tables.messages(spark, sf).select("id", text.alias("entities"))
+    # Some lists also hold what only a Python literal can.
+    odd = F.when((F.col("id") % 7 == 1) & (F.size("entities") > 0), F.lit(
+        r", {'label': 'I-PRODUCT', 'word': 'x\xa0y', 'price': None, 'new': True}, (1, 2)")).otherwise("")
+    text = F.concat(F.lit("["), F.array_join(item, ", "), odd, F.lit("]"))
+    return text
 
 
 @query
 def parse_entities(spark, sf):
-    parsed = _entity_text(spark, sf).select(
-        "id", F.posexplode(EF.parse_entities("entities")).alias("pos", "e")
-    )
+    texts = shop_tables.messages(spark, sf).select("id", _entity_text().alias("entities"))
+    parsed = texts.select("id", F.posexplode(EF.parse_entities("entities")).alias("pos", "e"))
     return parsed.select("id", "pos", "e.*")
 
 
 @query
 def avg_price(spark, sf):
-    return S.avg_price(scored_posts(spark, sf))
+    return S.avg_price(scored_texts(spark, sf))
 
 
 @query
 def top_post(spark, sf):
-    return S.top_post(scored_posts(spark, sf))
+    posts = scored_posts(spark, sf)
+    # Some messages landed twice.
+    return S.top_post(posts.unionByName(posts.where("id % 3 = 0")))
 
 
 @query
 def top_product(spark, sf):
-    return S.top_products(scored_posts(spark, sf))
+    return S.top_products(scored_texts(spark, sf))
 
 
 @query
@@ -549,7 +558,7 @@ def lending_score(spark, sf):
 
 @query
 def vendor_scorecard(spark, sf):
-    return S.vendor_scorecard(scored_posts(spark, sf))
+    return S.vendor_scorecard(scored_texts(spark, sf))
 
 
 # ---- I: profile ------------------------------------------------------------------
@@ -567,7 +576,7 @@ def raw_vs_clean(spark, sf):
 
 @query
 def head_per_channel(spark, sf):
-    return N.head_per_channel(light(spark, sf), CHANNELS).select("channel_username", "id", "message")
+    return N.head_per_channel(light(spark, sf), rules.PREVIEW_ROWS, CHANNELS).select("channel_username", "id", "message")
 
 
 @query

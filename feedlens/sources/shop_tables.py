@@ -55,17 +55,18 @@ def to_posts(documents: DataFrame) -> DataFrame:
     )
 
 
-def posts(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
-    """``spread`` deals the rows out to all cores before costly text work, if the table comes
-    in fewer partitions than there are cores; a large table is never shuffled for it."""
+#: Session setting: deal the rows of a small one-file table out to so many partitions before
+#: costly text work. Unset, nothing is shuffled, whatever the table's size.
+SPREAD = "spark.feedlens.spread"
+
+
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    if spread and documents.rdd.getNumPartitions() < cores:
-        documents = documents.repartition(cores, "doc_id")
-    return to_posts(documents)
+    partitions = spark.conf.get(SPREAD, None)
+    return to_posts(documents.repartition(int(partitions), "doc_id") if partitions else documents)
 
 
-def messages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts with their date text and entity list (joins events and parts)."""
     events = read(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts0")
@@ -85,7 +86,7 @@ def messages(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFram
         (F.col("id") % 5 < 3) & F.col("p_name").isNotNull(), F.array(price_note, entity)
     ).otherwise(F.array().cast(f"array<{ENTITY.simpleString()}>"))
     return (
-        posts(spark, sf_dir, spread)
+        to_posts(read(spark, sf_dir, "documents"))
         .join(events, "id")
         .join(parts, "id", "left")
         .withColumn(

@@ -27,8 +27,11 @@ def read_landing(
 def ingest(
     landing: DataFrame, media_folder: str, channels: list[str] | DataFrame | None = None
 ) -> DataFrame:
-    """Each new message of the listed channels -> one normalised row. Stateless."""
-    rows = landing if channels is None else channel_filter(landing, channels)
+    """Each new message of the listed channels -> one normalised row. Stateless.
+
+    Live messages carry names without ``@``, so names are compared in one spelling.
+    """
+    rows = landing if channels is None else channel_filter(landing, channels, literal=False)
     return message_record(rows, media_folder)
 
 

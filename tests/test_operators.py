@@ -42,9 +42,9 @@ def test_ties_and_salts(spark):
 
 def test_head_per_channel(feed):
     rows, df = feed
-    got = N.head_per_channel(df, ["@big", "@c1", "@none"]).collect()
+    got = N.head_per_channel(df, 5, ["@big", "@c1", "@none"]).collect()
     assert {r["channel_username"] for r in got} == {"@big", "@c1"} and len(got) == 10
-    assert None not in {r["channel_username"] for r in N.head_per_channel(df).collect()}
+    assert None not in {r["channel_username"] for r in N.head_per_channel(df, 5).collect()}
 
 
 def test_filter_by_list_or_table(spark, feed):
@@ -138,3 +138,15 @@ def test_user_functions(spark, feed):
 def test_rule_tables():
     assert len(rules.LOCATIONS) == len(set(rules.LOCATIONS)) == 31
     assert rules.TAGS == sorted(rules.TAGS)
+
+
+def test_user_aggregate_with_few_states_and_decimal_state(spark):
+    from decimal import Decimal
+
+    df = spark.createDataFrame([(f"v{i % 50}", i) for i in range(1000)], "vendor string, views bigint")
+    result = K.apply_per_group(
+        df, "vendor", lambda p: {"t": Decimal(int(p["views"].sum())), "n": len(p)},
+        lambda s: {"t": sum(s["t"], Decimal(0)), "n": int(s["n"].sum())}, lambda s: {"total": int(s["t"]), "n": s["n"]},
+        "t decimal(30,10), n bigint", "total bigint, n bigint", max_states=3)
+    want = {f"v{k}": (sum(range(k, 1000, 50)), 20) for k in range(50)}
+    assert {r["vendor"]: (r["total"], r["n"]) for r in result.collect()} == want

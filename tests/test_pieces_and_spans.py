@@ -133,13 +133,13 @@ def test_every_whole_word_gets_one_label(spark):
 
 def test_truncate_and_pad(spark):
     df = spark.createDataFrame([(["abcdefgh"] * 100,), (["ab"],)], "w array<string>")
-    cut = df.select(P.truncate_pieces(P.word_pieces("w", special=True)).alias("p")).collect()
+    cut = df.select(P.truncate_pieces(P.word_pieces("w", special=True), 128).alias("p")).collect()
     assert [len(r["p"]) for r in cut] == [128, 3]
     assert cut[0]["p"][-1]["piece"] == "</s>" and cut[0]["p"][-2]["word"] == 62
-    bare = df.select(P.truncate_pieces(P.word_pieces("w")).alias("p")).collect()
+    bare = df.select(P.truncate_pieces(P.word_pieces("w"), 128).alias("p")).collect()
     assert [len(r["p"]) for r in bare] == [128, 1]
     ids = spark.createDataFrame([([1, 2],), (list(range(200)),)], "x array<int>")
-    padded = ids.select(P.pad_labels(P.truncate_labels("x")).alias("x")).collect()
+    padded = ids.select(P.pad_labels(P.truncate_labels("x", 128), 128).alias("x")).collect()
     assert padded[0]["x"] == [1, 2] + [-100] * 126 and padded[1]["x"] == list(range(128))
 
 

@@ -14,7 +14,7 @@ P = "'label': 'B-PRODUCT'"
     ("""[{'label': 'B-PRODUCT', 'word': "O'Neil", 'price': '5'}]""", [("B-PRODUCT", "O'Neil", "5")]),
     ('[{"label": "I-PRICE", "word": "9"}]', [("I-PRICE", "9", None)]),
     ("[{'word': 'a'}] trailing", []),
-    ("[{" + P + ", 'word': None}]", []),
+    ("[{" + P + ", 'word': None}]", [("B-PRODUCT", None, None)]),
 ])
 def test_parse_entities(value, text, expected):
     assert [tuple(e) for e in value(text, E.parse_entities)] == expected
@@ -123,3 +123,19 @@ def test_low_confidence_flag(spark):
     schema = "entities array<struct<score:double>>"
     df = spark.createDataFrame([(None,), ([],), ([(0.69,)],), ([(0.69,), (0.7,)],)], schema)
     assert [r[0] for r in df.select(E.is_low_confidence("entities")).collect()] == [True, True, True, False]
+
+
+def test_literals_that_only_python_has_keep_their_list(value):
+    text = "[{" + P + ", 'word': 'a\\xa0b', 'price': 7, 'new': True}, {" + P + ", 'word': 'c', 'price': None}]"
+    assert [tuple(e) for e in value(text, E.parse_entities)] == [
+        ("B-PRODUCT", "a\xa0b", "7"), ("B-PRODUCT", "c", None)]
+    assert value(text, lambda c: E.product_prices(E.parse_entities(c))) == [7.0]
+
+
+def test_top_post_is_one_row_per_vendor(spark):
+    rows = [(1, "A", "x", "2024-01-01", 9, "[]"), (1, "A", "x", "2024-01-01", 9, "[]"),
+            (1, "A", "w", "2024-01-01", 9, "[]"), (2, "A", "y", "2024-01-01", 3, "[]"),
+            (7, "B", "z", "2024-01-01", None, "[]")]
+    posts = S.scorecard_input(feed(spark, rows))
+    got = sorted(map(tuple, S.top_post(posts).collect()))
+    assert got == [("A", "w", 9), ("B", "z", None)]

@@ -73,3 +73,23 @@ def test_feed_run(spark, landing, tmp_path):
     clean = spark.read.parquet(f"{out}/clean")
     assert clean.columns[:3] == ["Channel Title", "Channel Username", "ID"] and clean.count() == 40
     assert spark.read.parquet(f"{out}/preprocessed").where("Message <> ''").count() == 0
+
+
+def test_allow_list_takes_names_in_either_spelling(spark, tmp_path):
+    rows = [("T", "@shop", 1, "a", "d", False, "2023-01-01 00:00:00"),
+            ("T", "shop", 2, "b", "d", False, "2023-01-01 00:00:00"),
+            ("T", "other", 3, "c", "d", False, "2023-01-01 00:00:00")]
+    names = "channel_title string, channel_username string, id bigint, message string, date string, has_photo boolean, timestamp string"
+    landed = spark.createDataFrame(rows, names)
+    for channels in (["@shop"], ["shop"], landed.where("id = 1")):
+        assert {r["id"] for r in J.ingest(landed, "m", channels).collect()} == {1, 2}
+
+
+def test_feed_keeps_all_messages(spark, tmp_path):
+    rows = [("T", "@c", i, "text", "2024-01-01", False) for i in range(1500)]
+    landed = spark.createDataFrame(
+        rows, "channel_title string, channel_username string, id bigint, message string, date string, has_photo boolean")
+    run_feed(landed, "m", str(tmp_path / "all"))
+    assert spark.read.parquet(str(tmp_path / "all" / "raw")).count() == 1500
+    run_feed(landed, "m", str(tmp_path / "some"), n=10)
+    assert spark.read.parquet(str(tmp_path / "some" / "clean")).count() == 10
