@@ -18,6 +18,7 @@ from feedlens.functions import labels as L
 from feedlens.functions import pieces as P
 from feedlens.functions import text as X
 from feedlens.functions.numbers import clean_price, round_to
+from feedlens.functions.spans import tag_spans
 from feedlens.operators import cleaning as C
 from feedlens.operators import dataset as D
 from feedlens.operators import entities as E
@@ -367,10 +368,8 @@ def train_tagger(spark, sf):
 @query
 def argmax_labels(spark, sf):
     train = D.labeled_tokens(posts(spark, sf).where(~D.is_test("id")))
-    scores = G.model_rows(G.train_tagger(train, ["token"])).withColumn(
-        "label_id", F.array_position(F.array(*map(F.lit, rules.TAGS)), F.col("label"))
-    )
-    return G.argmax_labels(scores, ["feature", "key"])
+    model = G.train_tagger(train, ["token"])
+    return model.select("feature", "key", P.argmax_label("scores", rules.TAGS).alias("label"))
 
 
 @query
@@ -400,7 +399,8 @@ def mask_pairs(spark, sf):
 
 @query
 def entity_spans(spark, sf):
-    return M.entity_spans(D.labeled_tokens(posts(spark, sf)), tag="label")
+    spans = sentences(spark, sf).select("sid", F.explode(tag_spans(D.tag_array())).alias("s"))
+    return spans.select("sid", "s.type", "s.start", "s.end")
 
 
 @query

@@ -10,15 +10,12 @@ from pyspark.sql import functions as F
 from feedlens.functions.text import ws_tokens
 from feedlens.operators import dataset as D
 from feedlens.operators import tagging as G
-from feedlens.session import stored
 
 
 def split_tokens(rows: DataFrame) -> DataFrame:
-    """Token rows with the split in ``test``, stored by it: training and evaluation each
-    read their own part, several times, without labelling the messages again."""
-    if "test" not in rows.columns:
-        rows = rows.withColumn("test", D.is_test("sid"))
-    return stored(rows, "tokens", partition_by=["test"])
+    """Token rows with the split in ``test``. They are not stored: a token table is larger
+    than its messages, and each part labels only its own messages again."""
+    return rows if "test" in rows.columns else rows.withColumn("test", D.is_test("sid"))
 
 
 def train_part(tokens: DataFrame) -> DataFrame:

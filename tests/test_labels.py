@@ -94,3 +94,17 @@ def test_hash_split_is_a_partition(spark):
         train, test = D.train_test_split(df, test_share=share, seed=1)
         assert train.union(test).distinct().count() == 1000
         assert abs(test.count() / 1000 - share) < 0.06
+
+
+def test_labelling_plan(spark, tmp_path):
+    from feedlens.plans.labelling import run_labelling
+    from feedlens.sources.conll import read_conll
+
+    rows = [(1, "ቡና ማሽን\n500 ብር"), (2, None), (3, "ጫማ")]
+    messages = spark.createDataFrame(rows, "id bigint, message string")
+    counts = run_labelling(messages, str(tmp_path / "conll"))
+    written = read_conll(spark, str(tmp_path / "conll"))
+    tokens = written.selectExpr("explode(tokens) as t").select("t.label").collect()
+    assert written.count() == 2
+    assert {r["label"]: r["tokens"] for r in counts.collect()} == {
+        label: sum(t["label"] == label for t in tokens) for label in {t["label"] for t in tokens}}

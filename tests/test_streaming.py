@@ -93,3 +93,21 @@ def test_feed_keeps_all_messages(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "all" / "raw")).count() == 1500
     run_feed(landed, "m", str(tmp_path / "some"), n=10)
     assert spark.read.parquet(str(tmp_path / "some" / "clean")).count() == 10
+
+
+def test_live_plan_goes_on_after_a_restart(spark, landing, tmp_path):
+    from feedlens.plans.live import run_live
+
+    path, land = landing
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run():
+        for flow in run_live(read(spark, path, 1), "m", out, checkpoint, once=True):
+            flow.awaitTermination()
+        return spark.read.parquet(f"{out}/raw").count(), spark.read.parquet(f"{out}/clean").count()
+
+    first = run()
+    assert first[0] == spark.read.parquet(path).count() >= first[1]
+    assert run() == first
+    land([("T", "@c1", 99, "late", "d", False, "2023-01-01 00:00:00")])
+    assert run() == (first[0] + 1, first[1] + 1)
