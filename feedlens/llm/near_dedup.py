@@ -38,8 +38,8 @@ DARTS = int(COORDINATES * np.log(COORDINATES) + 2 * COORDINATES)
 REMEMBERED = 500_000
 #: Signatures made at a time.
 TOGETHER = 8
-#: Members of a group compared in one unit of work with as many others.
-BLOCK = 128
+#: Members of a group that one unit of work compares with each other, and elements at a time.
+FEW, MANY, COLUMNS = 1024, 1024, 4096
 
 _U = np.uint64
 _POISSON = np.cumsum([np.exp(-1) / np.prod(np.arange(1, k + 1), dtype=float) for k in range(16)])
@@ -174,13 +174,23 @@ def band_keys(texts: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
     return [np.concatenate(k).view(np.int64) for k in keys]
 
 
-def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
-    """Whether two sorted sets of numbered elements have a Jaccard similarity of ``least``."""
-    small, large = sorted((len(a), len(b)))
-    if small < least * large or not small:
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both >= least * (len(a) + len(b) - both) - 1e-9
+def alike(first: pa.ListArray, second: pa.ListArray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of the sets of ``first`` and ``second`` with a Jaccard similarity of
+    ``least``: overlaps by products of incidence matrices, some elements at a time."""
+    flat = np.concatenate([first.flatten().to_numpy(), second.flatten().to_numpy()])
+    sizes = [np.diff(x.offsets.to_numpy()) for x in (first, second)]
+    owner = np.repeat(np.arange(len(first) + len(second)), np.concatenate(sizes))
+    column = np.unique(flat, return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((len(first), len(second)), np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [at, at + COLUMNS])
+        held = np.zeros((len(first) + len(second), COLUMNS), np.float32)
+        held[owner[a:b], column[a:b] - at] = 1
+        both += held[:len(first)] @ held[len(first):].T
+    union = sizes[0][:, None] + sizes[1][None, :] - both.astype(float)
+    return np.nonzero(both >= least * union - 1e-9)
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -225,26 +235,39 @@ def verified(pairs: DataFrame, elements: DataFrame, least: float) -> DataFrame:
     return rows.where(sizes & (both >= least * (n_a + n_b - both) - 1e-9)).select("a", "b").distinct()
 
 
+def open_groups(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, label) of the groups whose members are not all in one class."""
+    named = groups.join(labels, "node", "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label"))
+    split = (named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+             .where("x < y").select("key"))
+    return named.join(split, "key", "left_semi")
+
+
 def links_in_blocks(groups: DataFrame, elements: DataFrame, least: float) -> DataFrame:
     """Links between members of a group (columns key, node, label) whose labels differ.
 
-    A group is cut into blocks of about ``BLOCK`` members and each pair of blocks is one unit
-    of work that compares what is not yet joined, so no task holds a group and pairs are
+    Of two such members one is outside the group's most frequent label. These are cut into
+    blocks of ``FEW`` and all members into blocks of ``MANY``, and each pair of blocks is one
+    unit of work that compares what is not yet joined, so no task holds a group and pairs are
     never rows. Enough links come out to join what belongs together.
     """
-    counts = groups.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = groups.join(counts, "key").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    spread = placed.withColumn("other", other).select(
-        "key", "node", "label", "block",
-        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-
-    def compare(table: pa.Table) -> pa.Table:
-        nodes, labels, blocks = (table.column(c).to_pylist() for c in ("node", "label", "block"))
-        sets = [np.array(x, np.int64) for x in table.column("elements").to_pylist()]
-        within = len(set(blocks)) == 1
-        parent = {x: x for x in labels}
+    sizes = groups.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
+        F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("top"))
+    cut = groups.join(sizes.select(
+        "key", F.col("top.label").alias("main"), F.ceil(F.col("all") / MANY).cast("int").alias("many"),
+        F.ceil((F.col("all") - F.col("top.n")) / FEW).cast("int").alias("few")), "key")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = cut.where("label <> main").select("key", own("few").alias("x"), each("many").alias("y"), "node", "label")
+    two = cut.select("key", each("few").alias("x"), own("many").alias("y"), "node", "label")
+    with_sets = elements.select("node", "elements")
+
+    def compare(some: pa.Table, others: pa.Table) -> pa.Table:
+        first, second = (t.column("elements").combine_chunks() for t in (some, others))
+        rows, columns = alike(first, second, least)
+        nodes, labels = ([t.column(c).to_pylist() for t in (some, others)] for c in ("node", "label"))
+        parent = {x: x for x in labels[0] + labels[1]}
 
         def find(x):
             while parent[x] != x:
@@ -253,17 +276,17 @@ def links_in_blocks(groups: DataFrame, elements: DataFrame, least: float) -> Dat
             return x
 
         found = []
-        for i in range(len(nodes)):
-            for j in range(i):
-                if (within or blocks[i] != blocks[j]) and (p := find(labels[i])) != (q := find(labels[j])) \
-                        and similar(sets[i], sets[j], least):
-                    parent[p] = q
-                    found.append((nodes[i], nodes[j]))
+        for i, j in zip(rows.tolist(), columns.tolist()):
+            if (p := find(labels[0][i])) != (q := find(labels[1][j])):
+                parent[p] = q
+                found.append((nodes[0][i], nodes[1][j]))
         a, b = zip(*found) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return (spread.join(elements.select("node", "elements"), "node")
-            .groupBy("key", "low", "high").applyInArrow(compare, "a bigint, b bigint").distinct())
+    one, two = (side.join(with_sets, "node") for side in (one, two))
+    two = two.select(*[F.col(c).alias(c) for c in two.columns])  # both come from the same tables
+    return (one.groupBy("key", "x", "y").cogroup(two.groupBy("key", "x", "y"))
+            .applyInArrow(compare, "a bigint, b bigint").distinct())
 
 
 def classes(
@@ -293,7 +316,8 @@ def classes(
     shared = shared.groupBy("pivot", "last", "n", "mark").agg(F.min("key").alias("key")).select("key", "pivot")
     groups = stored(bands.join(shared, "key"), "dart-groups")
 
-    wanted = groups.select(F.col("node").alias("id_")).distinct()
+    # Always by shuffle: the ids grow with the input.
+    wanted = groups.select(F.col("node").alias("id_")).distinct().hint("merge")
     elements = stored(
         elements_of(rows.join(wanted, "id_", "left_semi"), "id_", "text_").where(F.col("words").isNotNull())
         .dropDuplicates(["node", "words"]), "dart-elements")
@@ -304,12 +328,10 @@ def classes(
     links = stored(verified(pairs, elements, least).unionByName(own), "dart-links")
     labels = components(links, "a", "b")
 
-    named = groups.join(labels, "node", "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label"))
-    split = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    rest = links_in_blocks(stored(named.join(split, "key", "left_semi"), "dart-open"), elements, least)
-    links = links.unionByName(stored(rest, "dart-late-links"))
-    labels = components(links, "a", "b")
+    rest = stored(open_groups(groups, labels), "dart-open")
+    late = stored(links_in_blocks(rest, elements, least), "dart-links")
+    known = labels.select(F.col("label").alias("a"), F.col("node").alias("b"))
+    labels = components(known.unionByName(late), "a", "b")
 
     found = (members.join(labels, "node", "left")
              .groupBy("id").agg(F.min(F.coalesce("label", "node")).alias("class_id")))
