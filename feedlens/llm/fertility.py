@@ -162,28 +162,32 @@ def length_class() -> Column:
     return F.floor(F.log2(F.greatest(F.col("n_tokens"), F.lit(1))) / 2).cast("int")
 
 
-def fences(measured: DataFrame, group: str) -> DataFrame:
-    """(group, length class, low and high of each measure) of groups with enough documents."""
+def fences(measured: DataFrame, *group: str) -> DataFrame:
+    """(group, low and high of each measure) of groups with enough documents. Without the
+    length class in the group the entropy, which depends on the length, has no limits."""
     quartiles = [
         F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), 1000).alias(f"q_{m}") for m in MEASURES
     ]
-    found = (measured.where(~F.col("base_failed") & F.col(group).isNotNull())
-             .groupBy(group, "length_class").agg(F.count(F.lit(1)).alias("n"), *quartiles)
+    found = (measured.where(~F.col("base_failed") & F.col(group[0]).isNotNull())
+             .groupBy(*group).agg(F.count(F.lit(1)).alias("n"), *quartiles)
              .where(F.col("n") >= MIN_DOCUMENTS))
     limits = []
     for m, least in zip(MEASURES, LEAST_RANGE):
         low, high = F.col(f"q_{m}")[0], F.col(f"q_{m}")[1]
         width = FENCE * F.greatest(high - low, F.lit(least))
+        if m == "entropy" and "length_class" not in group:
+            width = F.lit(float("inf"))
         limits.append(F.struct((low - width).alias("low"), (high + width).alias("high")).alias(m))
-    return found.select(group, "length_class", F.struct(*limits).alias(f"by_{group}"))
+    return found.select(*group, F.struct(*limits).alias("by_" + "_".join(group)))
 
 
 def judge(measured: DataFrame, lang_col: str | None = None) -> DataFrame:
     """``measured`` (a stored table) with ``base_failed`` and ``kept``.
 
     ``lang_col`` names the language; without one, or where it is null or rare, the script
-    stands in; without fences for either, the base rules alone decide. The fences are few:
-    languages by their least share, scripts by the list above, classes by the length.
+    stands in. Where a length class has too few documents the fences over all lengths do;
+    without any the base rules alone decide. The fences are few: languages by their least
+    share, scripts by the list above, classes by the length.
     """
     lang = F.col(lang_col) if lang_col else F.lit(None).cast("string")
     rows = measured.select(
@@ -191,11 +195,12 @@ def judge(measured: DataFrame, lang_col: str | None = None) -> DataFrame:
     total = measured.agg(F.count(F.lit(1)).alias("total")).scalar()
     common = (rows.groupBy("language").agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") >= total * MIN_LANGUAGE_SHARE).select("language"))
-    by_language = fences(rows.join(F.broadcast(common), "language"), "language")
-    by_script = fences(rows, "script")
-    rows = (rows.join(F.broadcast(by_language), ["language", "length_class"], "left")
-            .join(F.broadcast(by_script), ["script", "length_class"], "left"))
-    limits = F.coalesce("by_language", "by_script")
+    common = rows.join(F.broadcast(common), "language")
+    groups = [(common, "language", "length_class"), (rows, "script", "length_class"), (common, "language"),
+              (rows, "script")]
+    for source, *group in groups:
+        rows = rows.join(F.broadcast(fences(source, *group)), group, "left")
+    limits = F.coalesce(*["by_" + "_".join(group) for _, *group in groups])
     outside = F.lit(False)
     for m in MEASURES:
         high = F.col(m) > limits[m]["high"]
