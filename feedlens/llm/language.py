@@ -9,7 +9,6 @@ over them, and batches of documents are scored by matrix products.
 
 from __future__ import annotations
 
-import base64
 import re
 from dataclasses import dataclass
 
@@ -25,7 +24,7 @@ MAX_N = 3
 BUCKETS = 1 << 16
 #: The model is fitted on a bounded sample: so many documents of each of the most frequent
 #: languages; so many of the sample are landmarks.
-SAMPLE_PER_LANGUAGE, MAX_LANGUAGES, LANDMARKS = 400, 64, 256
+SAMPLE_PER_LANGUAGE, MAX_LANGUAGES, LANDMARKS = 300, 64, 256
 RIDGE = 0.1
 UNDETERMINED = "und"
 #: Documents scored by one product; bounds the size of the presence matrix.
@@ -91,25 +90,30 @@ class LanguageModel:
         return names, np.where(size > 0, score, 0.0)
 
 
-def fit_rows(rows: np.ndarray, langs: list[str], ridge: float = RIDGE, landmarks: int = LANDMARKS) -> LanguageModel:
-    """Model of sample rows: every k-th row of the sample by language is a landmark."""
+def fit_rows(packed: np.ndarray, langs: list[str], ridge: float = RIDGE, landmarks: int = LANDMARKS) -> LanguageModel:
+    """Model of sample rows (presence as packed bits): evenly spaced rows of the sample in the
+    order of the languages are landmarks."""
     languages = sorted(set(langs))
     if not languages:
         return LanguageModel([UNDETERMINED], np.zeros((BUCKETS, 1), np.float32))
+
+    def unit(some: np.ndarray) -> np.ndarray:
+        x = np.unpackbits(some, axis=1).astype(np.float32)
+        return x / np.sqrt(np.maximum(x.sum(axis=1), 1))[:, None]
+
     order = np.argsort(np.array(langs), kind="stable")
-    rows, langs = rows[order], [langs[i] for i in order]
-    marks = rows[np.unique(np.linspace(0, len(rows) - 1, min(landmarks, len(rows))).astype(int))]
-    unit = lambda x: x / np.sqrt(np.maximum(x.sum(axis=1), 1))[:, None]
-    marks = unit(marks)
+    packed, langs = packed[order], [langs[i] for i in order]
+    marks = unit(packed[np.unique(np.linspace(0, len(packed) - 1, min(landmarks, len(packed))).astype(int))])
     kernel = (marks @ marks.T).astype(float)
     values, vectors = np.linalg.eigh(kernel)
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])  # inverse square root of the landmark kernel
-    features = (unit(rows) @ marks.T).astype(float) @ root
+    near = [unit(packed[at:at + 64]) @ marks.T for at in range(0, len(packed), 64)]
+    features = np.concatenate(near).astype(float) @ root
     targets = np.where(np.array(langs)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     gram = features.T @ features + ridge * np.eye(features.shape[1])
     solution = np.linalg.solve(gram, features.T @ targets)
-    return LanguageModel(languages, (marks.T @ (root @ solution)).astype(np.float32))
+    return LanguageModel(languages, marks.T @ (root @ solution).astype(np.float32))
 
 
 def sample(docs: DataFrame, id_col: str, lang_col: str, per_language: int) -> DataFrame:
@@ -144,16 +148,14 @@ def fit(
 
     def start():
         def step(batch: pa.RecordBatch) -> list[pa.Array]:
-            bits = [base64.b64encode(np.packbits(presence([t])[0] > 0).tobytes()).decode()
-                    for t in batch.column(2).to_pylist()]
-            return [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(bits, pa.string())]
+            bits = [np.packbits(presence([t])[0] > 0).tobytes() for t in batch.column(2).to_pylist()]
+            return [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(bits, pa.binary())]
         return step
 
-    found = sorted((r["lang_"], r["id_"], r["bits"])
-                   for r in arrow_map(drawn, "id_ bigint, lang_ string, bits string", start).collect())
-    unpack = lambda b: np.unpackbits(np.frombuffer(base64.b64decode(b), np.uint8))
-    rows = np.array([unpack(b) for _, _, b in found], np.float32).reshape(-1, BUCKETS)
-    return fit_rows(rows, [lang for lang, _, _ in found])
+    found = sorted((r["lang_"], r["id_"], bytes(r["bits"]))
+                   for r in arrow_map(drawn, "id_ bigint, lang_ string, bits binary", start).collect())
+    packed = np.frombuffer(b"".join(bits for _, _, bits in found), np.uint8).reshape(-1, BUCKETS // 8)
+    return fit_rows(packed, [lang for lang, _, _ in found])
 
 
 def predict(
