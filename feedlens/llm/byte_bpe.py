@@ -8,7 +8,6 @@ come back whole.
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 from array import array
 
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from feedlens.llm.byte_table import byte_characters
-from feedlens.llm.common import Memo, arrow_map, longs, vocabulary
+from feedlens.llm.common import Memo, arrow_map, kept_in_worker, longs, vocabulary
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Words that a worker remembers at least.
@@ -89,10 +88,8 @@ class ByteBpe:
         return self.decode_bytes(ids).decode("utf-8", errors="replace")
 
 
-@functools.lru_cache(1)
 def byte_bpe(path: str) -> ByteBpe:
-    """One per worker process, kept from task to task."""
-    return ByteBpe(path)
+    return kept_in_worker(("byte pairs", path), lambda: ByteBpe(path))
 
 
 def _texts(column: pa.Array) -> list[str]:

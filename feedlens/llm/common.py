@@ -133,6 +133,18 @@ class Memo(Recent):
         return found
 
 
+_kept: dict = {}
+
+
+def kept_in_worker(name, make: Callable[[], object]):
+    """What ``make`` gives, kept by this worker process from task to task until an operator
+    keeps something else: the memories of two operators never add up."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
+
 def longs(values) -> pa.Array:
     return pa.array(values, pa.int64())
 

@@ -8,7 +8,6 @@ quartile fences over all documents.
 
 from __future__ import annotations
 
-import functools
 from array import array
 
 import numpy as np
@@ -17,7 +16,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import Memo, arrow_map, free_name, utf8_bytes, vocabulary
+from feedlens.llm.common import Memo, arrow_map, free_name, kept_in_worker, utf8_bytes, vocabulary
 from feedlens.session import stored
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -69,10 +68,8 @@ class Pieces:
         return [array("H", ids).tobytes() for ids in found]
 
 
-@functools.lru_cache(1)
 def pieces(path: str) -> Pieces:
-    """One per worker process, kept from task to task."""
-    return Pieces(path)
+    return kept_in_worker(("pieces", path), lambda: Pieces(path))
 
 
 def script_of(text: str) -> str:

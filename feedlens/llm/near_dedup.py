@@ -13,7 +13,6 @@ where their classes still differ, so that a large group of copies costs one comp
 
 from __future__ import annotations
 
-import functools
 import hashlib
 
 import numpy as np
@@ -23,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import Recent, arrow_map, free_name
+from feedlens.llm.common import Recent, arrow_map, free_name, kept_in_worker
 from feedlens.llm.components import components
 from feedlens.session import stored
 
@@ -63,10 +62,8 @@ class WordHashes(Recent):
         return xxhash.xxh3_64_digest(word)
 
 
-@functools.lru_cache(1)
 def known_words() -> WordHashes:
-    """One per worker process, kept from task to task."""
-    return WordHashes(REMEMBERED)
+    return kept_in_worker("word hashes", lambda: WordHashes(REMEMBERED))
 
 
 def word_hashes(texts: pa.Array) -> list[np.ndarray]:

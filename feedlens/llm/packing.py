@@ -7,7 +7,6 @@ with what is left of it. Documents may be cut: what no whole piece fills, a cut
 
 from __future__ import annotations
 
-import functools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from feedlens.llm.common import Memo, slices, utf8_bytes, vocabulary
+from feedlens.llm.common import Memo, kept_in_worker, slices, utf8_bytes, vocabulary
 from feedlens.llm.word_rule import WordRule
 
 VOCABULARY = "word_bpe_49k.json"
@@ -69,10 +68,8 @@ class PartIds:
         return [special[t] if t in special else b"".join(ids) for t, ids in zip(texts, found)]
 
 
-@functools.lru_cache(1)
 def part_ids(path: str) -> PartIds:
-    """One per worker process, kept from task to task."""
-    return PartIds(path)
+    return kept_in_worker(("part ids", path), lambda: PartIds(path))
 
 
 def document_ids(texts: pa.Array, path: str, end_id: int | None) -> list[np.ndarray]:

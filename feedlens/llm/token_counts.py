@@ -7,14 +7,13 @@ text is the sum over its cut parts, and a part is counted once per worker and re
 
 from __future__ import annotations
 
-import functools
 import heapq
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from feedlens.llm.byte_table import byte_characters
-from feedlens.llm.common import Recent, arrow_map, longs, utf8_bytes, vocabulary
+from feedlens.llm.common import Recent, arrow_map, kept_in_worker, longs, utf8_bytes, vocabulary
 from feedlens.llm.word_rule import WordRule
 
 VOCABULARY = "word_bpe_49k.json"
@@ -107,10 +106,8 @@ class PartCounts(Recent):
         return len(cut) // 2 + sum(counts[w] for plain in cut[::2] if plain for w in self.rule.words(plain))
 
 
-@functools.lru_cache(1)
 def part_counts(path: str) -> PartCounts:
-    """One per worker process, kept from task to task."""
-    return PartCounts(path)
+    return kept_in_worker(("token counts", path), lambda: PartCounts(path))
 
 
 def count_tokens(
