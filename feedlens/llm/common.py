@@ -11,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+#: Bytes of an Arrow batch on its way to a worker: both sides hold some at once.
+BATCH_BYTES = 8 << 20
 #: Rows and bytes of text that a step works on at a time.
 SLICE_ROWS, SLICE_BYTES = 512, 4 << 20
 
@@ -43,7 +45,13 @@ def arrow_map(
             for part in slices(batch):
                 yield pa.RecordBatch.from_arrays(step(part), names=names)
 
-    return df.mapInArrow(run, types)
+    return bounded(df).mapInArrow(run, types)
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df`` for an Arrow operator: batches of the session are held to ``BATCH_BYTES``."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+    return df
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

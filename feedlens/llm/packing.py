@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from feedlens.llm.common import Memo, kept_in_worker, slices, utf8_bytes, vocabulary
+from feedlens.llm.common import Memo, bounded, kept_in_worker, slices, utf8_bytes, vocabulary
 from feedlens.llm.word_rule import WordRule
 
 VOCABULARY = "word_bpe_49k.json"
@@ -234,4 +234,4 @@ def pack_documents(
                     yield rows(packer.pack(LEFT_TOKENS))
         yield rows(packer.flush())
 
-    return docs.select(id_col, text_col).mapInArrow(run, types)
+    return bounded(docs.select(id_col, text_col)).mapInArrow(run, types)

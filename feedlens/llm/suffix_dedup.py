@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import arrow_map, free_name, longs, slices, utf8_bytes
+from feedlens.llm.common import arrow_map, bounded, free_name, longs, slices, utf8_bytes
 from feedlens.llm.induced_sort import common_prefix_at_least, suffix_array
 from feedlens.session import stored
 
@@ -35,9 +35,9 @@ LENGTH, GRAM = 50, 24
 #: Bytes beside an anchor that its windows can cover on either side, and places in a window.
 SIDE, PLACES = LENGTH - GRAM, LENGTH - GRAM + 1
 #: Anchors that a task holds before it sends them.
-HELD = 1 << 21
+HELD = 1 << 18
 #: Bytes of text per part, and edges per shard: what one task gets does not grow.
-PART_BYTES, SHARD_EDGES = 32 << 20, 1 << 16
+PART_BYTES, SHARD_EDGES = 8 << 20, 1 << 14
 #: From so many different contexts on a gram is resolved window by window.
 HOT_CONTEXTS = 4096
 #: Copies of one id are told apart in the upper bits of a place.
@@ -140,7 +140,7 @@ def sent_blocks(docs: DataFrame, parts: int) -> DataFrame:
         if held:
             yield send()
 
-    return docs.mapInArrow(run, "part bigint, block binary")
+    return bounded(docs).mapInArrow(run, "part bigint, block binary")
 
 
 COVERED, EDGE, HOT = 0, 1, 2
@@ -150,6 +150,7 @@ def met(table: pa.Table) -> pa.Table:
     """(doc, place, kind, gram) of the anchors of one part that matter."""
     columns = [unpack_block(b, 4) for b in table.column("block").to_pylist()]
     grams, contexts, docs, places = (np.concatenate(c) for c in zip(*columns))
+    del columns
     docs = docs.view(np.int64)
     order = np.lexsort((docs, contexts, grams))
     grams, contexts, docs, places = grams[order], contexts[order], docs[order], places[order].view(np.int64)
