@@ -7,7 +7,8 @@ bytes the one with the smallest hash is the window's anchor, so equal windows ha
 anchors at equal places. An anchor with all bytes that its windows may cover is a context.
 
 1. Each task sends its anchors (gram hash, context hash, document, place) in sorted,
-   compressed blocks to parts by gram hash.
+   compressed blocks to parts by gram hash. A context that a text has at several places, as in
+   a run of one byte, is sent once; what is found for it holds for all its places.
 2. A part finds for each anchor whether a smaller document has the whole context (then all
    its windows go) or only the gram, beside other contexts (an edge).
 3. The contexts of edges go to shards by gram hash. A shard's suffix array, made by induced
@@ -38,10 +39,11 @@ SIDE, PLACES = LENGTH - GRAM, LENGTH - GRAM + 1
 HELD = 1 << 18
 #: Bytes of text per part, and edges per shard: what one task gets does not grow.
 PART_BYTES, SHARD_EDGES = 8 << 20, 1 << 14
-#: From so many different contexts on a gram is resolved window by window.
+#: From so many contexts to compare on a gram is resolved window by window.
 HOT_CONTEXTS = 4096
-#: Copies of one id are told apart in the upper bits of a place.
-COPY_BITS = 40
+#: Copies of one id are told apart in the upper bits of a place; the bit below them says that
+#: the text has the context at more places than this, its first.
+COPY_BITS, AGAIN_BIT = 40, 39
 
 _U = np.uint64
 _ODD = 0x9E3779B97F4A7C15
@@ -107,6 +109,12 @@ def unpack_block(block: bytes, n_columns: int) -> list[np.ndarray]:
     return [np.ascontiguousarray(c.T).reshape(-1).view(np.uint64) for c in rows]
 
 
+def first_places(contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the first anchor of each different context of a text, and how often it is there."""
+    _, first, n = np.unique(contexts, return_index=True, return_counts=True)
+    return first, n
+
+
 def sent_blocks(docs: DataFrame, parts: int) -> DataFrame:
     """(part, block) of the anchors of all texts of ``docs`` (id, copy, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,8 +139,10 @@ def sent_blocks(docs: DataFrame, parts: int) -> DataFrame:
                                            utf8_bytes(some.column(2))):
                     places, grams, contexts = anchors(text)
                     if len(places):
-                        held.append((grams, contexts, np.full(len(places), doc).view(np.uint64),
-                                     (places + (copy << COPY_BITS)).view(np.uint64)))
+                        first, n = first_places(contexts)
+                        places = places[first] + (copy << COPY_BITS) + ((n > 1).astype(np.int64) << AGAIN_BIT)
+                        held.append((grams[first], contexts[first], np.full(len(places), doc).view(np.uint64),
+                                     places.view(np.uint64)))
                         n_held += len(places)
                     if n_held >= HELD:
                         yield send()
@@ -162,7 +172,8 @@ def met(table: pa.Table) -> pa.Table:
     n_contexts = np.add.reduceat(new_context.astype(np.int64), starts)[of_gram]
     first = docs[np.flatnonzero(new_context)][of_context]
     covered = docs > first
-    kind = np.where(covered, COVERED, np.where(n_contexts > HOT_CONTEXTS, HOT, EDGE))
+    n_open = np.add.reduceat((~covered).astype(np.int64), starts)[of_gram]
+    kind = np.where(covered, COVERED, np.where(n_open > HOT_CONTEXTS, HOT, EDGE))
     keep = shared & (covered | (n_contexts > 1))
     return pa.table({"doc": docs[keep], "place": places[keep], "kind": kind[keep].astype(np.int32),
                      "gram": grams[keep].view(np.int64)})
@@ -171,15 +182,17 @@ def met(table: pa.Table) -> pa.Table:
 # ---- Edges ----------------------------------------------------------------------------
 
 def _marked(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
-    """``docs`` with an array of (place, kind, gram) per text."""
+    """``docs`` with an array of (place, again, kind, gram) per text."""
     copy = F.shiftright("place", COPY_BITS).alias("copy")
-    place = F.col("place").bitwiseAND(F.lit((1 << COPY_BITS) - 1))
-    grouped = marks.groupBy("doc", copy).agg(F.collect_list(F.struct(place.alias("place"), "kind", "gram")).alias("marks"))
+    place = F.col("place").bitwiseAND(F.lit((1 << AGAIN_BIT) - 1))
+    again = F.when(F.col("place").bitwiseAND(F.lit(1 << AGAIN_BIT)) != 0, place).otherwise(F.lit(-1))
+    grouped = marks.groupBy("doc", copy).agg(F.collect_list(F.struct(
+        place.alias("place"), again.alias("again"), "kind", "gram")).alias("marks"))
     return docs.join(grouped, ["doc", "copy"], how)
 
 
 def edge_contexts(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """(doc, copy, at, kind, gram, bytes): the bytes around edges, which start at ``at``."""
+    """(doc, copy, at, again, kind, gram, bytes): the bytes around edges, which start at ``at``."""
     def start():
         def step(batch: pa.RecordBatch) -> list[pa.Array]:
             rows = []
@@ -187,19 +200,20 @@ def edge_contexts(docs: DataFrame, marks: DataFrame) -> DataFrame:
                                             utf8_bytes(batch.column(2)), batch.column(3).to_pylist()):
                 for mark in own:
                     a = max(0, mark["place"] - SIDE)
-                    rows.append((doc, copy, a, mark["kind"], mark["gram"], text[a:mark["place"] + LENGTH]))
-            columns = list(zip(*rows)) if rows else [()] * 6
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+                    rows.append((doc, copy, a, mark["again"], mark["kind"], mark["gram"],
+                                 text[a:mark["place"] + LENGTH]))
+            columns = list(zip(*rows)) if rows else [()] * 7
+            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
             return [pa.array(c, k) for c, k in zip(columns, kinds)]
         return step
 
     rows = _marked(docs, marks, "inner").select("doc", "copy", "text", "marks")
-    return arrow_map(rows, "doc bigint, copy int, at bigint, kind int, gram bigint, bytes binary", start)
+    return arrow_map(rows, "doc bigint, copy int, at bigint, again bigint, kind int, gram bigint, bytes binary", start)
 
 
 def shard_repeats(table: pa.Table) -> pa.Table:
-    """(doc, copy, start, end) of the windows of one shard's contexts that also start in a
-    smaller document's context."""
+    """``SPANS`` of the windows of one shard's contexts that also start in a smaller
+    document's context."""
     texts = table.column("bytes").to_pylist()
     sizes = np.array([len(t) for t in texts])
     # Bytes count from 1 on; a zero ends each context.
@@ -222,21 +236,23 @@ def shard_repeats(table: pa.Table) -> pa.Table:
     of, at = owner[first], table.column("at").to_numpy()
     return pa.table({
         "doc": docs[of], "copy": table.column("copy").to_numpy()[of],
-        "start": at[of] + first - begins[of], "end": at[of] + last - begins[of] + LENGTH})
+        "start": at[of] + first - begins[of], "end": at[of] + last - begins[of] + LENGTH,
+        "again": table.column("again").to_numpy()[of]})
 
 
-SPANS = "doc bigint, copy int, start bigint, end bigint"
+#: ``again`` is the anchor's place if the text has its context at other places too, else -1.
+SPANS = "doc bigint, copy int, start bigint, end bigint, again bigint"
 
 
 def hot_repeats(contexts: DataFrame) -> DataFrame:
     """The same for contexts of hot grams, by rows of windows."""
     windows = contexts.select("doc", "copy", F.posexplode(F.transform(
         F.sequence(F.lit(1), F.octet_length("bytes") - LENGTH + 1),
-        lambda i: F.substring("bytes", i, F.lit(LENGTH)))).alias("i", "window"), "at")
+        lambda i: F.substring("bytes", i, F.lit(LENGTH)))).alias("i", "window"), "at", "again")
     first = windows.groupBy("window").agg(F.min("doc").alias("first"))
     start = F.col("at") + F.col("i")
     return (windows.join(first, "window").where("first < doc")
-            .select("doc", "copy", start.alias("start"), (start + LENGTH).alias("end")))
+            .select("doc", "copy", start.alias("start"), (start + LENGTH).alias("end"), "again"))
 
 
 def _with_copies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -254,18 +270,19 @@ def _with_copies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(doc, copy, start, end): byte spans to remove from ``docs`` (doc, copy, text); spans
-    may overlap. Runs while it is called."""
+    """``SPANS``: byte spans to remove from ``docs`` (doc, copy, text); spans may overlap, and
+    hold for all places of their context (see ``everywhere``). Runs while it is called."""
     named = docs.where(F.col("doc").isNotNull() & (F.octet_length("text") >= LENGTH))
     size = named.agg(F.sum(F.octet_length("text")).alias("size")).first()["size"] or 0
     parts = 1 + size // PART_BYTES
     found = sent_blocks(named, parts).groupBy("part").applyInArrow(
         met, "doc bigint, place bigint, kind int, gram bigint")
     marks = stored(found, "suffix-marks")
-    place = F.col("place").bitwiseAND(F.lit((1 << COPY_BITS) - 1))
+    place = F.col("place").bitwiseAND(F.lit((1 << AGAIN_BIT) - 1))
+    again = F.when(F.col("place").bitwiseAND(F.lit(1 << AGAIN_BIT)) != 0, place).otherwise(F.lit(-1))
     covered = marks.where(F.col("kind") == COVERED).select(
         "doc", F.shiftright("place", COPY_BITS).cast("int").alias("copy"),
-        F.greatest(place - SIDE, F.lit(0)).alias("start"), (place + LENGTH).alias("end"))
+        F.greatest(place - SIDE, F.lit(0)).alias("start"), (place + LENGTH).alias("end"), again.alias("again"))
     open_marks = marks.where(F.col("kind") != COVERED)
     edges = open_marks.where(F.col("kind") == EDGE).count()
     contexts = stored(edge_contexts(named, open_marks), "suffix-edges")
@@ -277,11 +294,28 @@ def repeats(docs: DataFrame) -> DataFrame:
     return covered.unionByName(resolved).unionByName(hot)
 
 
-def merged(spans: list, size: int) -> list[tuple[int, int]]:
+def everywhere(spans: np.ndarray, text: bytes) -> np.ndarray:
+    """Rows (start, end) of the spans (start, end, again) at all places of their contexts."""
+    many = spans[:, 2] >= 0
+    if not many.any():
+        return spans[:, :2]
+    places, _, contexts = anchors(text)
+    order = np.argsort(contexts, kind="stable")
+    ordered, out = contexts[order], [spans[~many, :2]]
+    for place in np.unique(spans[many, 2]):
+        own = contexts[np.searchsorted(places, place)]
+        a, b = np.searchsorted(ordered, own), np.searchsorted(ordered, own, side="right")
+        shifts = places[order[a:b]] - place
+        near = np.array(merged(spans[spans[:, 2] == place, :2], len(text)))
+        out.append((near[:, None, :] + shifts[None, :, None]).reshape(-1, 2))
+    return np.concatenate(out)
+
+
+def merged(spans, size: int) -> list[tuple[int, int]]:
     """Maximal runs of the bytes that the spans cover, within the text."""
-    if not spans:
+    if not len(spans):
         return []
-    pairs = np.array(spans, np.int64).reshape(-1, 2)
+    pairs = np.asarray(spans, np.int64).reshape(-1, 2)
     pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
     reach = np.maximum.accumulate(np.minimum(pairs[:, 1], size))
     new = np.r_[True, pairs[1:, 0] > reach[:-1]]
@@ -299,13 +333,16 @@ def kept_bytes(text: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 def _grouped(docs: DataFrame) -> DataFrame:
     spans = repeats(docs).groupBy("doc", "copy").agg(
-        F.collect_list(F.struct("start", "end")).alias("spans"))
+        F.collect_list(F.struct("start", "end", "again")).alias("spans"))
     return docs.join(stored(spans, "suffix-spans"), ["doc", "copy"], "left")
 
 
 def _runs(batch_spans: pa.Array, texts: list[bytes]) -> list[list[tuple[int, int]]]:
-    return [merged([(s["start"], s["end"]) for s in spans or ()], len(t))
-            for spans, t in zip(batch_spans.to_pylist(), texts)]
+    out = []
+    for spans, text in zip(batch_spans.to_pylist(), texts):
+        rows = np.array([(s["start"], s["end"], s["again"]) for s in spans or ()], np.int64).reshape(-1, 3)
+        out.append(merged(everywhere(rows, text), len(text)))
+    return out
 
 
 def removal_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -335,7 +372,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     a character that is cut in two go with the passage. Null texts stay null."""
     own = _with_copies(docs, id_col, text_col)
     spans = stored(repeats(own).groupBy("doc", "copy").agg(
-        F.collect_list(F.struct("start", "end")).alias("spans")), "suffix-spans")
+        F.collect_list(F.struct("start", "end", "again")).alias("spans")), "suffix-spans")
     lost = own.join(spans, ["doc", "copy"]).select(
         "doc", F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"), "spans").dropDuplicates(["doc", "mark"])
     id_name, mark_name, spans_name = (free_name(docs, n) for n in ("id_", "mark_", "spans_"))

@@ -379,6 +379,21 @@ def test_removal_equals_brute_force(spark, monkeypatch, hot):
     assert got == plain_removal([(i, (t or "").encode()) for i, t in texts])
 
 
+def sent_rows(spark, texts):
+    blocks = suffix_dedup.sent_blocks(spark.createDataFrame(
+        [(i, 0, t) for i, t in texts], "doc bigint, copy int, text string"), 1).collect()
+    return sum(len(suffix_dedup.unpack_block(bytes(r["block"]), 4)[0]) for r in blocks)
+
+
+def test_runs_of_short_periods_send_each_context_once(spark):
+    lines = ("-" * 79 + "\n") * 2000
+    texts = [(3, "x" + "0" * 30000 + "y"), (1, "0" * 20000), (2, "ab" * 9000), (7, "ab" * 300 + "q"), (5, lines),
+             (6, "begin " + lines[:9000] + " end"), (8, "0" * 60 + "abab" * 30 + "-" * 70)]
+    assert sent_rows(spark, [t for t in texts if t[0] in (1, 2, 3, 5)]) < 600
+    got = sorted(map(tuple, suffix_dedup.removal_digests(table(spark, texts)).collect()), key=str)
+    assert got == plain_removal([(i, t.encode()) for i, t in texts])
+
+
 def test_suffix_query_equals_brute_force(spark):
     from feedlens.llm.queries import QUERIES
 
