@@ -39,10 +39,12 @@ class WordRule:
         for escape, plain in ((r"\p{L}", letters), (r"\p{N}", numbers), (r"\s", spaces)):
             rule = rule.replace(escape, plain)
         self._plain = re.compile(rule).findall
+        # Some capitals below the border have their small letter above it.
+        self._other = re.compile(f"[^{_class(lambda c: max(c.lower()) < chr(PLAIN_END))}]").search
 
     def words(self, part: str) -> list[str]:
         """Normalised words of a part without special strings."""
-        if part.isascii() or max(part) < chr(PLAIN_END):
+        if part.isascii() or not self._other(part):
             return self._plain(part.lower())
         text = self._normalize(part)
         return [text[a:b] for _, (a, b) in self._split(text)]

@@ -67,6 +67,16 @@ def test_query_counts_equal_the_library(spark):
     assert got == {i: len(library_ids(t)) for i, t in docs.items()}
 
 
+def test_capitals_whose_small_letter_lies_above_the_plain_range(spark):
+    capitals = [chr(c) for c in range(0x250) if chr(c).isalpha() and max(chr(c).lower()) >= "\u0250"]
+    assert len(capitals) >= 20
+    texts = ["SHAIƊA", "Ɓera", "HAƊARI", "GAƁA", *(f"AB{c}CD {c}x x{c}" for c in map(chr, range(0x80, 0x250))), *capitals]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(df).collect()}
+    assert got == {i: len(library_ids(t)) for i, t in enumerate(texts)}
+    assert check_packing(packing.pack_documents(df).collect(), dict(enumerate(texts)), packing.Limits()) < 1
+
+
 def test_empty_tables(spark, odd):
     none = odd.where("false")
     for fn in (token_counts.count_tokens, packing.pack_documents, byte_bpe.encode, byte_bpe.encode_digests):
