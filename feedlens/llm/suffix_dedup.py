@@ -8,7 +8,10 @@ anchors at equal places. An anchor with all bytes that its windows may cover is
 
 1. Each task sends its anchors (gram hash, context hash, document, place) in sorted,
    compressed blocks to parts by gram hash. A context that a text has at several places, as in
-   a run of one byte, is sent once; what is found for it holds for all its places.
+   a run of one byte, is sent once; what is found for it holds for all its places. Of the
+   documents that a task holds with one context it sends the first and the last: those between
+   are settled by the first. Grams that a sample shows in very many places are dealt by gram
+   and context, so that no part gets all of them.
 2. A part finds for each anchor whether a smaller document has the whole context (then all
    its windows go) or only the gram, beside other contexts (an edge).
 3. The contexts of edges go to shards by gram hash. A shard's suffix array, made by induced
@@ -25,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +43,9 @@ SIDE, PLACES = LENGTH - GRAM, LENGTH - GRAM + 1
 HELD = 1 << 18
 #: Bytes of text per part, and edges per shard: what one task gets does not grow.
 PART_BYTES, SHARD_EDGES = 8 << 20, 1 << 14
+#: One of so many documents is drawn to find grams that are dealt by context as well, and how
+#: many anchors of the sample a gram must have: 75,000 of the whole are about an eighth of a part.
+SAMPLE_SHARE, SAMPLE_HOT = 1000, 75
 #: From so many contexts to compare on a gram is resolved window by window.
 HOT_CONTEXTS = 4096
 #: Copies of one id are told apart in the upper bits of a place; the bit below them says that
@@ -115,23 +122,63 @@ def first_places(contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, n
 
 
-def sent_blocks(docs: DataFrame, parts: int) -> DataFrame:
-    """(part, block) of the anchors of all texts of ``docs`` (id, copy, text)."""
+def hot_grams(docs: DataFrame) -> np.ndarray:
+    """Hashes of the grams that are anchors very often, from a sample of ``docs``, in order.
+
+    The result of the search is the same whichever they are.
+    """
+    draw = F.pmod(F.xxhash64("doc", "copy", F.lit(29)), F.lit(SAMPLE_SHARE))
+
+    def start():
+        def step(batch: pa.RecordBatch) -> list[pa.Array]:
+            found = [np.zeros(0, np.uint64)]
+            for text in utf8_bytes(batch.column(0)):
+                _, grams, contexts = anchors(text)
+                found.append(grams[first_places(contexts)[0]])
+            return [longs(np.concatenate(found).view(np.int64))]
+        return step
+
+    drawn = arrow_map(docs.where(draw == 0).select("text"), "gram bigint", start)
+    often = drawn.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= SAMPLE_HOT)
+    return np.sort(np.array([r["gram"] for r in often.select("gram").collect()], np.int64).view(np.uint64))
+
+
+def sent_blocks(docs: DataFrame, parts: int, hot: np.ndarray = np.zeros(0, np.uint64)) -> DataFrame:
+    """(part, block) of the anchors of all texts of ``docs`` (id, copy, text).
+
+    Part 2p holds all that is sent of its grams, 2p + 1 all that is sent of some contexts of
+    ``hot`` grams. Blocks of negative parts hold (document, place) of settled anchors.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        n_held = 0
+        n_held = n_sent = 0
+        task = TaskContext.get().partitionId()
 
         def send() -> pa.RecordBatch:
-            columns = [np.concatenate(c) for c in zip(*held)]
-            order = np.argsort(columns[0])
-            columns = [c[order] for c in columns]
+            grams, contexts, docs, places = (np.concatenate(c) for c in zip(*held))
             # 48 bits tell contexts of one gram apart.
-            columns[1] = columns[1] >> _U(16)
-            part = ((columns[0] >> _U(32)) * _U(parts) >> _U(32)).astype(np.int64)
+            contexts = contexts >> _U(16)
+            order = np.lexsort((docs.view(np.int64), contexts, grams))
+            columns = [c[order] for c in (grams, contexts, docs, places)]
+            grams, contexts, docs, places = columns
+            new = np.r_[True, (grams[1:] != grams[:-1]) | (contexts[1:] != contexts[:-1])]
+            goes = (docs == docs[np.flatnonzero(new)][np.cumsum(new) - 1]) | np.r_[new[1:], True]
+            keys, blocks = [], []
+            if not goes.all():
+                keys.append(-1 - (task << 32) - n_sent)
+                blocks.append(pack_block([docs[~goes], places[~goes]]))
+                columns = [c[goes] for c in columns]
+            apart = np.isin(columns[0], hot)
+            # Hashes of anchors are small ones, so their upper bits alone would not deal evenly.
+            dealt = np.where(apart, columns[0] ^ columns[1], columns[0]) * _U(_ODD)
+            part = ((dealt >> _U(32)) * _U(parts) >> _U(32)).astype(np.int64) * 2 + apart
+            order = np.argsort(part, kind="stable")
+            part, columns = part[order], [c[order] for c in columns]
             edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
-            blocks = [pack_block([c[a:b] for c in columns]) for a, b in zip(edges[:-1], edges[1:])]
+            blocks += [pack_block([c[a:b] for c in columns]) for a, b in zip(edges[:-1], edges[1:])]
             return pa.RecordBatch.from_arrays(
-                [pa.array(part[edges[:-1]]), pa.array(blocks, pa.binary())], names=["part", "block"])
+                [pa.array([*keys, *part[edges[:-1]].tolist()], pa.int64()), pa.array(blocks, pa.binary())],
+                names=["part", "block"])
 
         for batch in batches:
             for some in slices(batch):
@@ -146,7 +193,7 @@ def sent_blocks(docs: DataFrame, parts: int) -> DataFrame:
                         n_held += len(places)
                     if n_held >= HELD:
                         yield send()
-                        held, n_held = [], 0
+                        held, n_held, n_sent = [], 0, n_sent + 1
         if held:
             yield send()
 
@@ -158,6 +205,12 @@ COVERED, EDGE, HOT = 0, 1, 2
 
 def met(table: pa.Table) -> pa.Table:
     """(doc, place, kind, gram) of the anchors of one part that matter."""
+    part = table.column("part")[0].as_py()
+    if part < 0:
+        docs, places = (np.concatenate(c).view(np.int64) for c in zip(
+            *(unpack_block(b, 2) for b in table.column("block").to_pylist())))
+        return pa.table({"doc": docs, "place": places, "kind": np.full(len(docs), COVERED, np.int32),
+                         "gram": np.zeros(len(docs), np.int64)})
     columns = [unpack_block(b, 4) for b in table.column("block").to_pylist()]
     grams, contexts, docs, places = (np.concatenate(c) for c in zip(*columns))
     del columns
@@ -175,6 +228,8 @@ def met(table: pa.Table) -> pa.Table:
     n_open = np.add.reduceat((~covered).astype(np.int64), starts)[of_gram]
     kind = np.where(covered, COVERED, np.where(n_open > HOT_CONTEXTS, HOT, EDGE))
     keep = shared & (covered | (n_contexts > 1))
+    if part % 2:  # other contexts of its grams are in other parts
+        kind, keep = np.where(covered, COVERED, HOT), np.ones(len(docs), bool)
     return pa.table({"doc": docs[keep], "place": places[keep], "kind": kind[keep].astype(np.int32),
                      "gram": grams[keep].view(np.int64)})
 
@@ -275,7 +330,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     named = docs.where(F.col("doc").isNotNull() & (F.octet_length("text") >= LENGTH))
     size = named.agg(F.sum(F.octet_length("text")).alias("size")).first()["size"] or 0
     parts = 1 + size // PART_BYTES
-    found = sent_blocks(named, parts).groupBy("part").applyInArrow(
+    found = sent_blocks(named, parts, hot_grams(named)).groupBy("part").applyInArrow(
         met, "doc bigint, place bigint, kind int, gram bigint")
     marks = stored(found, "suffix-marks")
     place = F.col("place").bitwiseAND(F.lit((1 << AGAIN_BIT) - 1))

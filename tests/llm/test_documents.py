@@ -394,6 +394,46 @@ def test_runs_of_short_periods_send_each_context_once(spark):
     assert got == plain_removal([(i, t.encode()) for i, t in texts])
 
 
+def test_no_gram_of_very_many_documents_sits_in_one_part(spark, monkeypatch):
+    rnd = random.Random(6)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(300))
+    own = lambda n: "".join(rnd.choice("mnopqrst ") for _ in range(n))
+    texts = [(i, own(60) + passage + own(60)) for i in range(300)]
+    texts += [(300 + i, own(70) + passage[:40] + own(70)) for i in range(300)]
+    docs = spark.createDataFrame([(i, 0, t) for i, t in texts], "doc bigint, copy int, text string").repartition(2)
+    monkeypatch.setattr(suffix_dedup, "SAMPLE_SHARE", 1)
+    monkeypatch.setattr(suffix_dedup, "SAMPLE_HOT", 100)
+    hot = suffix_dedup.hot_grams(docs)
+    assert 5 < len(hot) < 60
+    most = {}
+    for r in suffix_dedup.sent_blocks(docs, 8, hot).collect():
+        if r["part"] >= 0:
+            for gram in suffix_dedup.unpack_block(bytes(r["block"]), 4)[0]:
+                most[r["part"], gram] = most.get((r["part"], gram), 0) + 1
+    assert max(most.values()) < 150
+    for size in (5000, 8 << 20):
+        monkeypatch.setattr(suffix_dedup, "PART_BYTES", size)
+        got = sorted(map(tuple, suffix_dedup.removal_digests(table(spark, texts)).collect()), key=str)
+        assert got == plain_removal([(i, t.encode()) for i, t in texts])
+
+
+def test_parts_are_even(spark):
+    rnd = random.Random(9)
+    text = "".join(rnd.choice("abcdefgh ") for _ in range(200_000))
+    docs = spark.createDataFrame([(1, 0, text)], "doc bigint, copy int, text string")
+    sizes = [len(suffix_dedup.unpack_block(bytes(r["block"]), 4)[0]) for r in suffix_dedup.sent_blocks(docs, 40).collect()]
+    assert len(sizes) == 40 and max(sizes) < 1.5 * np.mean(sizes)
+
+
+def test_all_grams_hot_gives_the_same(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SAMPLE_SHARE", 1)
+    monkeypatch.setattr(suffix_dedup, "SAMPLE_HOT", 2)
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 5000)
+    texts = repeated_texts() + [(-4, "a" * 90), (-5, "b" * 70 + "a" * 60)]
+    got = sorted(map(tuple, suffix_dedup.removal_digests(table(spark, texts)).collect()), key=str)
+    assert got == plain_removal([(i, (t or "").encode()) for i, t in texts])
+
+
 def test_suffix_query_equals_brute_force(spark):
     from feedlens.llm.queries import QUERIES
 
