@@ -2,8 +2,8 @@
 
 The patterns give the base spans. The field tags tokens by the shapes around them and adds
 spans that the patterns miss. It is trained from the small labelled table and decoded by
-Viterbi over padded numpy batches. Entities hold a digit or an at sign, so only the tokens
-near one are decoded; all others are outside by definition of the model.
+Viterbi over padded numpy batches. Entities hold a digit, an at sign, or one written as
+" at " or "(at)", so only the tokens near one of these are decoded.
 """
 
 from __future__ import annotations
@@ -86,7 +86,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 _DIGIT = re.compile(r"[0-9]")
 _ANCHOR = re.compile(r"[0-9@]|\(at\)| at ")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\w\s]|[\d_]")
-#: Tokens on each side of one with a digit or at sign that are decoded with it.
+#: Tokens on each side of one with a digit or (written) at sign that are decoded with it.
 REACH = 8
 #: Buckets for pairs of neighbouring shapes.
 PAIRS = 1 << 12
@@ -298,13 +298,14 @@ def default_tagger() -> Tagger:
 # ---- Spans of whole texts ----------------------------------------------------------
 
 def stretches(text: str) -> list[Tokens]:
-    """Token stretches around digits and at signs, line by line."""
+    """Token stretches around digits, at signs and written at signs, line by line."""
     out = []
     for line in re.finditer(r"[^\n]+", text):
         if not _ANCHOR.search(line[0]):
             continue
         tokens = tokens_of(text, *line.span())
-        held = np.array([w[0] in "0123456789@" for w in tokens.words], bool)
+        held = np.array([w[0] in "0123456789@" or w == "at" and text[a - 1:b + 1] in (" at ", "(at)")
+                         for w, (a, b) in zip(tokens.words, tokens.spans)], bool)
         if not held.any():
             continue
         near = np.convolve(held, np.ones(2 * REACH + 1), "same") > 0

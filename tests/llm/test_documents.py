@@ -199,6 +199,16 @@ def test_the_field_finds_what_the_patterns_miss_and_leaves_plain_text_alone():
     assert found[2] == found[3] == []
 
 
+def test_disguised_addresses_without_a_digit_are_found_and_masked(spark):
+    texts = ["reach me at pierre.dupont at exemple.example.fr please", "write to jane (at) example (dot) com for details",
+             "We met at the station at noon and talked.", "The talk is at Example Hall. People at large stayed at sea."]
+    found = [[(personal_data.KINDS[k], t[a:b]) for k, a, b in every]
+             for t, (_, every) in zip(texts, personal_data.find(texts, personal_data.default_tagger()))]
+    assert found == [[("email", "pierre.dupont at exemple.example.fr")], [("email", "jane (at) example (dot) com")], [], []]
+    out = {r["doc_id"]: r["text"] for r in personal_data.mask(table(spark, list(enumerate(texts)))).collect()}
+    assert out == {0: "reach me at <EMAIL> please", 1: "write to <EMAIL> for details", 2: texts[2], 3: texts[3]}
+
+
 def test_viterbi_equals_the_best_of_all_paths():
     import itertools
 
