@@ -10,6 +10,7 @@ over them, and batches of documents are scored by matrix products.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,13 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from feedlens.llm.common import arrow_map
+from feedlens.llm.common import arrow_map, bounded, slices
+from feedlens.session import stored
 
 MAX_N = 3
 BUCKETS = 1 << 16
-#: The model is fitted on a bounded sample: so many documents of each of the most frequent
-#: languages; so many of the sample are landmarks.
-SAMPLE_PER_LANGUAGE, MAX_LANGUAGES, LANDMARKS = 300, 64, 256
+#: The model is fitted on a sample: so many documents of each language. So many of the sample
+#: are landmarks, or so many of each language if that is more.
+SAMPLE_PER_LANGUAGE, LANDMARKS, LANDMARKS_PER_LANGUAGE = 300, 256, 4
+#: Sample rows compared with as many landmarks at a time.
+BLOCK = 64
 RIDGE = 0.1
 UNDETERMINED = "und"
 #: Documents scored by one product; bounds the size of the presence matrix.
@@ -90,72 +94,112 @@ class LanguageModel:
         return names, np.where(size > 0, score, 0.0)
 
 
-def fit_rows(packed: np.ndarray, langs: list[str], ridge: float = RIDGE, landmarks: int = LANDMARKS) -> LanguageModel:
-    """Model of sample rows (presence as packed bits): evenly spaced rows of the sample in the
-    order of the languages are landmarks."""
-    languages = sorted(set(langs))
-    if not languages:
-        return LanguageModel([UNDETERMINED], np.zeros((BUCKETS, 1), np.float32))
+def unit(packed: np.ndarray) -> np.ndarray:
+    """Rows of packed presence bits, scaled to length 1."""
+    x = np.unpackbits(packed, axis=1).astype(np.float32)
+    return x / np.sqrt(np.maximum(x.sum(axis=1), 1))[:, None]
+
+
+def blocks(packed: np.ndarray) -> Iterator[np.ndarray]:
+    return (unit(packed[at:at + BLOCK]) for at in range(0, len(packed), BLOCK))
 
-    def unit(some: np.ndarray) -> np.ndarray:
-        x = np.unpackbits(some, axis=1).astype(np.float32)
-        return x / np.sqrt(np.maximum(x.sum(axis=1), 1))[:, None]
 
-    order = np.argsort(np.array(langs), kind="stable")
-    packed, langs = packed[order], [langs[i] for i in order]
-    marks = unit(packed[np.unique(np.linspace(0, len(packed) - 1, min(landmarks, len(packed))).astype(int))])
-    kernel = (marks @ marks.T).astype(float)
-    values, vectors = np.linalg.eigh(kernel)
+def kernel_rows(packed: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Kernel of each row with each landmark, all as packed bits."""
+    columns = []
+    for mark in blocks(marks):
+        columns.append(np.concatenate([x @ mark.T for x in blocks(packed)]))
+    return np.concatenate(columns, axis=1).astype(float)
+
+
+def solved(languages: list[str], marks: np.ndarray, products: np.ndarray, sums: np.ndarray,
+           ridge: float = RIDGE) -> LanguageModel:
+    """Model of landmarks and of the sample's kernel rows k: the sum of the products k k' and,
+    for each language, the sum of its k."""
+    kernel = kernel_rows(marks, marks)
+    values, vectors = np.linalg.eigh((kernel + kernel.T) / 2)
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])  # inverse square root of the landmark kernel
-    near = [unit(packed[at:at + 64]) @ marks.T for at in range(0, len(packed), 64)]
-    features = np.concatenate(near).astype(float) @ root
-    targets = np.where(np.array(langs)[:, None] == np.array(languages)[None, :], 1.0, -1.0)
-    gram = features.T @ features + ridge * np.eye(features.shape[1])
-    solution = np.linalg.solve(gram, features.T @ targets)
-    return LanguageModel(languages, marks.T @ (root @ solution).astype(np.float32))
+    gram = root.T @ products @ root + ridge * np.eye(root.shape[1])
+    # Targets are 1 for the own language and -1 for the others.
+    solution = root @ np.linalg.solve(gram, root.T @ (2 * sums - sums.sum(axis=0)).T)
+    weights = np.zeros((BUCKETS, len(languages)), np.float32)
+    for at, mark in zip(range(0, len(marks), BLOCK), blocks(marks)):
+        weights += mark.T @ solution[at:at + BLOCK].astype(np.float32)
+    return LanguageModel(languages, weights)
 
 
 def sample(docs: DataFrame, id_col: str, lang_col: str, per_language: int) -> DataFrame:
-    """At most ``per_language`` rows of each of the most frequent languages, by a hash of the
+    """At most ``per_language`` rows of each language with their ``rank`` in it, by a hash of the
     id and the text, so that neither order nor partitions of the input matter.
 
     Language counts thin the rows out before any of them moves: a window sees about twice
     what it keeps of each language.
     """
-    counts = docs.groupBy(lang_col).agg(F.count(F.lit(1)).alias("_n")).orderBy(
-        F.desc("_n"), lang_col).limit(MAX_LANGUAGES)
+    counts = docs.groupBy(lang_col).agg(F.count(F.lit(1)).alias("_n"))
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), "text_", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
     drawn = (docs.withColumn("_draw", draw).join(F.broadcast(counts), lang_col)
              .where(F.col("_draw") * F.col("_n") < 2.0 * per_language + 40))
     first = Window.partitionBy(lang_col).orderBy("_draw", id_col)
-    return (drawn.withColumn("_rank", F.row_number().over(first))
-            .where(F.col("_rank") <= per_language).drop("_draw", "_n", "_rank"))
+    return (drawn.withColumn("rank", F.row_number().over(first))
+            .where(F.col("rank") <= per_language).drop("_draw", "_n"))
 
 
 def fit(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     per_language: int = SAMPLE_PER_LANGUAGE,
 ) -> LanguageModel:
-    """Model from the rows with a text that has a letter and a language.
+    """Model from the rows with a text that has a letter and a language, of all languages.
 
-    Whole sample texts become rows of bits on the executors; the driver gets at most
-    ``MAX_LANGUAGES * per_language`` rows of 8 KB.
+    Sample texts become rows of bits on the executors, which also sum what the ridge needs.
+    The driver gets the landmarks (8 KB each) and one sum at a time: with m landmarks m x m
+    numbers of each task, and m of each of its languages.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(id_col).alias("id_"), F.col(text_col).alias("text_"), F.col(lang_col).alias("lang_"))
-    drawn = sample(rows, "id_", "lang_", per_language).select("id_", "lang_", "text_")
+    drawn = sample(rows, "id_", "lang_", per_language).select("id_", "lang_", "text_", "rank")
 
     def start():
         def step(batch: pa.RecordBatch) -> list[pa.Array]:
             bits = [np.packbits(presence([t])[0] > 0).tobytes() for t in batch.column(2).to_pylist()]
-            return [batch.column(0).cast(pa.int64()), batch.column(1), pa.array(bits, pa.binary())]
+            return [batch.column(0).cast(pa.int64()), batch.column(1), batch.column(3), pa.array(bits, pa.binary())]
         return step
 
-    found = sorted((r["lang_"], r["id_"], bytes(r["bits"]))
-                   for r in arrow_map(drawn, "id_ bigint, lang_ string, bits binary", start).collect())
-    packed = np.frombuffer(b"".join(bits for _, _, bits in found), np.uint8).reshape(-1, BUCKETS // 8)
-    return fit_rows(packed, [lang for lang, _, _ in found])
+    found = stored(arrow_map(drawn, "id_ bigint, lang_ string, rank int, bits binary", start), "language-sample")
+    languages = sorted(r["lang_"] for r in found.select("lang_").distinct().collect())
+    if not languages:
+        return LanguageModel([UNDETERMINED], np.zeros((BUCKETS, 1), np.float32))
+    each = max(LANDMARKS_PER_LANGUAGE, -(-LANDMARKS // len(languages)))
+    chosen = sorted((r["lang_"], r["rank"], bytes(r["bits"])) for r in found.where(F.col("rank") <= each).collect())
+    marks = np.frombuffer(b"".join(bits for *_, bits in chosen), np.uint8).reshape(-1, BUCKETS // 8)
+    shared = labelled.sparkSession.sparkContext.broadcast(marks)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = shared.value
+        products, own = np.zeros((len(marks), len(marks))), {}
+        for batch in batches:
+            for part in slices(batch):
+                packed = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                near = kernel_rows(packed, marks)
+                products += near.T @ near
+                for lang, row in zip(part.column(0).to_pylist(), near):
+                    own[lang] = own.get(lang, 0) + row
+        if own:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([None, *own], pa.string()),
+                 pa.array([products.tobytes(), *(np.asarray(x).tobytes() for x in own.values())], pa.binary())],
+                names=["lang", "sums"])
+
+    products, by_language = np.zeros((len(marks), len(marks))), np.zeros((len(languages), len(marks)))
+    number = {lang: i for i, lang in enumerate(languages)}
+    # In the order of the partitions, so that rounding is the same each time.
+    for r in bounded(found.select("lang_", "bits")).mapInArrow(sums, "lang string, sums binary").toLocalIterator():
+        some = np.frombuffer(r["sums"], float)
+        if r["lang"] is None:
+            products += some.reshape(products.shape)
+        else:
+            by_language[number[r["lang"]]] += some
+    return solved(languages, marks, products, by_language)
 
 
 def predict(
@@ -167,7 +211,7 @@ def predict(
     ``und`` with score 0 if the text is null or has no letter; otherwise one of the learned
     languages (``und`` if none was learned); of equal outputs the first in alphabetical
     order. Repeated rows stay; an empty table gives none; other columns are ignored. The
-    model travels to the executors as a broadcast of BUCKETS x MAX_LANGUAGES numbers at most.
+    model travels to the executors as a broadcast of BUCKETS numbers for each language.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

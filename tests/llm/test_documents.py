@@ -124,6 +124,19 @@ def test_language_of_odd_texts(spark):
     assert got[6] in model.languages
 
 
+def test_every_labelled_language_is_learned(spark):
+    rnd = random.Random(4)
+    words = {f"l{k:02}": ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)]
+             for k in range(80)}
+    texts = lambda n: [(" ".join(rnd.choice(w) for _ in range(30)), lang) for lang, w in words.items() for _ in range(n)]
+    labelled = spark.createDataFrame([(i, *r) for i, r in enumerate(texts(6))], "doc_id bigint, text string, lang string")
+    model = language.fit(labelled)
+    assert model.languages == sorted(words)
+    new = texts(1)
+    names, _ = model.predict([t for t, _ in new])
+    assert np.mean([a == b for a, (_, b) in zip(names, new)]) > 0.95
+
+
 def test_no_labels_and_no_rows(spark):
     none = table(spark, [])
     model = language.fit(none)
