@@ -15,7 +15,7 @@ anchors at equal places. An anchor with all bytes that its windows may cover is
 2. A part finds for each anchor whether a smaller document has the whole context (then all
    its windows go) or only the gram, beside other contexts (an edge).
 3. The contexts of edges go to shards by gram hash. A shard's suffix array, made by induced
-   sorting, puts equal windows side by side; permuted common prefixes of 50 bytes group them.
+   sorting, puts equal windows side by side; neighbours that agree in 50 bytes are a group.
 4. Grams that start too many different contexts are resolved window by window instead, as
    rows that are combined before they move; the result is the same.
 """
