@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from feedlens.llm import (
-    byte_bpe, fertility, language, near_dedup, neighbours, packing, personal_data, preferences,
-    suffix_dedup, token_counts,
+    byte_bpe, fertility, fill_middle, language, near_dedup, neighbours, packing, personal_data,
+    preferences, suffix_dedup, token_counts, vector_dedup,
 )
 from feedlens.llm.common import documents
 
@@ -72,3 +72,19 @@ def op9_near_dedup(spark, sf_dir):
 @query
 def op10_byte_bpe(spark, sf_dir):
     return byte_bpe.encode_digests(documents(spark, sf_dir))
+
+
+@query
+def op11_fill_middle(spark, sf_dir):
+    return fill_middle.digests(documents(spark, sf_dir))
+
+
+ORACLES["op11_fill_middle"] = fill_middle.FILL_MIDDLE_SQL
+
+
+@query
+def op12_vector_dedup(spark, sf_dir):
+    return vector_dedup.classes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLES["op12_vector_dedup"] = vector_dedup.VECTOR_DEDUP_SQL
