@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from feedlens.llm import (
-    byte_bpe, fertility, fill_middle, language, near_dedup, neighbours, packing, personal_data,
+    byte_bpe, collocations, fertility, fill_middle, language, near_dedup, neighbours, packing, personal_data,
     preferences, suffix_dedup, token_counts, vector_dedup,
 )
 from feedlens.llm.common import documents
@@ -88,3 +88,11 @@ def op12_vector_dedup(spark, sf_dir):
 
 
 ORACLES["op12_vector_dedup"] = vector_dedup.VECTOR_DEDUP_SQL
+
+
+@query
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+ORACLES["op13_collocations"] = collocations.COLLOCATIONS_SQL
