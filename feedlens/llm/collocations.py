@@ -6,9 +6,9 @@ become one entry of a dictionary with its number of occurrences, and phrases are
 the distinct chunks, weighted by it. A phrase that begins in a shared window belongs to the
 chunk that the window begins, so every occurrence is counted once.
 
-Phrases are counted level by level: words, then pairs of frequent words, then runs of frequent
-pairs. What is frequent travels as a bitmap of fixed size: it may let a rare phrase through to
-be counted, and never stops a frequent one.
+Words are counted first, then hashes of pairs of frequent words, then phrases that are runs of
+frequent pairs. What is frequent travels as a bitmap of fixed size: it may let a rare phrase
+through to be counted, and never stops a frequent one.
 """
 
 from __future__ import annotations
@@ -209,6 +209,12 @@ class Entries:
         whole[:max(0, len(row) - size + 1)] = row[size - 1:] == row[:max(0, len(row) - size + 1)]
         return whole
 
+    def cells(self, sums: np.ndarray) -> np.ndarray:
+        """32 bits for each word and the next one, from the checksums of the words."""
+        mixed = (sums[:-1] * _FIRST + sums[1:] * _SECOND + self.lang_sums()[:-1]).astype(np.uint64)
+        mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(32)).astype(np.int64)
+
     def counted(self, code: np.ndarray, at: np.ndarray, size: int) -> tuple[pa.Table, np.ndarray, np.ndarray]:
         """(lang, phrase, f) of the phrases of ``size`` words from each of ``at`` on, told apart
         by ``code``; and each phrase's number and first place."""
@@ -239,35 +245,36 @@ def word_counts(entries: DataFrame) -> DataFrame:
     return _mapped(entries, PHRASES, tables)
 
 
-def pair_counts(entries: DataFrame, frequent_words) -> DataFrame:
-    """(lang, phrase, f) of the pairs of words that the bitmap (a broadcast) has."""
+def pair_cells(entries: DataFrame, frequent_words) -> DataFrame:
+    """(cell, n) of the pairs of words that the bitmap (a broadcast) has: a hash of 32 bits
+    stands for a pair, which is much less to shuffle."""
     def tables(batch: pa.RecordBatch) -> Iterator[pa.Table]:
         some = Entries.of(batch)
-        frequent = _held(frequent_words.value, some.words.checksums()[some.words.code] * _FIRST + some.lang_sums())
+        sums = some.words.checksums()[some.words.code]
+        frequent = _held(frequent_words.value, sums * _FIRST + some.lang_sums())
         pairs = some.inside(2)
         pairs[:-1] &= frequent[:-1] & frequent[1:]
-        at = np.flatnonzero(pairs & (some.weight > 0))
-        names = len(some.words.names)
-        code = (some.lang[at] * names + some.words.code[at]) * names + some.words.code[at + 1]
-        yield some.counted(code, at, 2)[0]
+        pairs &= some.weight > 0
+        cells, number = np.unique(some.cells(sums)[pairs[:-1]], return_inverse=True)
+        total = np.zeros(len(cells), np.int64)
+        np.add.at(total, number, some.weight[:-1][pairs[:-1]])
+        yield pa.table({"cell": cells, "n": total})
 
-    return _mapped(entries, PHRASES, tables)
+    return _mapped(entries, "cell bigint, n bigint", tables)
 
 
-def longer_counts(entries: DataFrame, frequent_pairs, longest: int) -> DataFrame:
-    """(lang, phrase, f) of the phrases of 3 words or more whose pairs the bitmap all has."""
+def phrase_counts(entries: DataFrame, frequent_cells, longest: int) -> DataFrame:
+    """(lang, phrase, f) of the phrases of 2 words or more whose pairs the bitmap all has."""
     def tables(batch: pa.RecordBatch) -> Iterator[pa.Table]:
         some = Entries.of(batch)
         code = some.words.code.astype(np.int64)
-        sums = some.words.checksums()[code]
         frequent = some.inside(2)
-        frequent[:-1] &= _held(frequent_pairs.value, (sums[:-1] * _FIRST + sums[1:] * _SECOND + some.lang_sums()[:-1]))
+        frequent[:-1] &= _held(frequent_cells.value, some.cells(some.words.checksums()[code]))
         at = np.flatnonzero(frequent)
         names = len(some.words.names)
         # Each phrase is numbered by its words but the last, and the last.
         number = some.lang[at] * names + code[at]
-        number = np.unique(number * names + code[at + 1], return_inverse=True)[1]
-        for size in range(3, longest + 1):
+        for size in range(2, longest + 1):
             goes_on = frequent[at + size - 2]
             at, number = at[goes_on], number[goes_on]
             if not len(at):
@@ -283,10 +290,10 @@ def _held(bitmap: np.ndarray, mixed: np.ndarray) -> np.ndarray:
     return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
-def bitmap_of(phrases: DataFrame, mixed: Column) -> np.ndarray:
-    """Bits of the phrases, by their mixed checksums; ``BITS`` of them at most reach the driver."""
-    bit = F.pmod(mixed, F.lit(BITS)) + 1
-    parts = (phrases.groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
+def bitmap_of(rows: DataFrame, number: Column) -> np.ndarray:
+    """Bits of the numbers; ``BITS`` of them at most reach the driver."""
+    bit = F.pmod(number, F.lit(BITS)) + 1
+    parts = (rows.groupBy(F.bitmap_bucket_number(bit).alias("bucket"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).collect())
     out = np.zeros(BITS // 8, np.uint8)
     for row in parts:
@@ -295,13 +302,6 @@ def bitmap_of(phrases: DataFrame, mixed: Column) -> np.ndarray:
     return out
 
 
-def _mixed(*words: Column) -> Column:
-    mixed = F.crc32("lang") * _LANG
-    for word, factor in zip(words, (_FIRST, _SECOND)):
-        mixed = mixed + F.crc32(word) * factor
-    return mixed
-
-
 def frequent_phrases(
     docs: DataFrame, least: int = LEAST_COUNT, longest: int = LONGEST, every: int = EVERY
 ) -> tuple[DataFrame, DataFrame]:
@@ -317,13 +317,12 @@ def frequent_phrases(
     words = level(word_counts(entries))
     totals = words.where("phrase = ''").select("lang", F.col("f").alias("n"))
     words = words.where("phrase <> ''")
-    bits = spark.sparkContext.broadcast(bitmap_of(words, _mixed(F.col("phrase"))))
-    pairs = level(pair_counts(entries, bits))
-    second = [F.substring_index("phrase", " ", k) for k in (1, -1)]
-    bits = spark.sparkContext.broadcast(bitmap_of(pairs, _mixed(*second)))
-    longer = level(longer_counts(entries, bits, longest))
+    bits = spark.sparkContext.broadcast(bitmap_of(words, F.crc32("phrase") * _FIRST + F.crc32("lang") * _LANG))
+    cells = pair_cells(entries, bits).groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    bits = spark.sparkContext.broadcast(bitmap_of(cells, F.col("cell")))
+    longer = level(phrase_counts(entries, bits, longest))
     size = F.length("phrase") - F.length(F.translate("phrase", " ", "")) + 1
-    return words.unionByName(pairs).unionByName(longer).withColumn("size", size.cast("int")), totals
+    return words.unionByName(longer).withColumn("size", size.cast("int")), totals
 
 
 def _exact(column: str) -> Column:
