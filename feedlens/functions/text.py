@@ -56,8 +56,15 @@ def remove_emoji(c: Column | str, ranges: list[tuple[int, int]] | None = None) -
     return F.regexp_replace(c, f"[{chars}]+", "")
 
 
+def _class_of(signs) -> str:
+    return "[" + "".join(rf"\x{{{ord(s):X}}}" for s in dict.fromkeys(signs)) + "]"
+
+
 def _translate(c: Column, mapping: dict[str, str]) -> Column:
-    return F.translate(c, "".join(mapping), "".join(mapping.values()))
+    # Looking for one of the signs is far cheaper than translating each sign.
+    if not mapping:
+        return c
+    return F.when(c.rlike(_class_of(mapping)), F.translate(c, "".join(mapping), "".join(mapping.values()))).otherwise(c)
 
 
 def _replace_all(c: Column, pairs: list[tuple[str, str]]) -> Column:
@@ -65,10 +72,25 @@ def _replace_all(c: Column, pairs: list[tuple[str, str]]) -> Column:
     return reduce(lambda acc, p: F.replace(acc, F.lit(p[0]), F.lit(p[1])), pairs, c)
 
 
+def replace_longest(c: Column | str, table: dict[str, str]) -> Column:
+    """Every occurrence of a key -> its value, in one pass from the left, longest key first."""
+    c = _col(c)
+    table = {k: v for k, v in table.items() if k}
+    if not table:
+        return c
+    first = _class_of(k[0] for k in table)
+    keys = "|".join("".join(rf"\x{{{ord(s):X}}}" for s in k) for k in sorted(table, key=len, reverse=True))
+    # Runs of signs that begin no key, keys, and signs that could have begun one.
+    parts = F.regexp_extract_all(c, F.lit(f"(?s)[^{first[1:]}+|{keys}|."), F.lit(0))
+    lookup = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    replaced = F.array_join(F.transform(parts, lambda p: F.coalesce(lookup[p], p)), "")
+    return F.when(c.rlike(keys), replaced).otherwise(c)
+
+
 def norm_labialized(c: Column | str, pairs: list[tuple[str, str]] | None = None) -> Column:
     """Letter sequences that spell one labialised syllable -> the single letter."""
     pairs = rules.labialized_pairs() if pairs is None else pairs
-    return _translate(_replace_all(_col(c), pairs), rules.LABIAL_U_LETTERS)
+    return _translate(replace_longest(c, dict(pairs)), rules.LABIAL_U_LETTERS)
 
 
 def norm_short_forms(c: Column | str, table: dict[str, str] | None = None) -> Column:
@@ -108,6 +130,10 @@ def preprocess_message(c: Column | str, script: str = "ethiopic") -> Column:
     """Emoji, labialised letters, short forms, punctuation, homophones, then word tokens
     joined by one space. The order matters."""
     text = text_or_empty(c)
+    if script == "ethiopic":
+        # Words of ASCII letters and digits occur in no rule and are dropped in the end: one
+        # letter in their place separates as well, and leaves the steps a shorter text.
+        text = F.regexp_replace(text, "[A-Za-z0-9]+(?: [A-Za-z0-9]+)*", "x")
     for step in (remove_emoji, norm_labialized, norm_short_forms, norm_punct, norm_chars):
         text = step(text)
     return F.array_join(word_tokenize(text, script), " ")
@@ -122,6 +148,12 @@ def ws_tokens(c: Column | str) -> Column:
     return F.array_remove(F.split(F.regexp_replace(text_or_empty(c), WS + "+", " "), " "), "")
 
 
+def ws_gaps(c: Column | str) -> Column:
+    """The whitespace before each of ``ws_tokens``, and after the last one: one item more than
+    there are tokens, so that gaps and tokens in turn are the text."""
+    return F.split(F.regexp_replace(text_or_empty(c), NOT_WS + "+", "x"), "x", -1)
+
+
 def first_line(c: Column | str) -> Column:
     return F.get(F.split(_col(c), "\n", 2), F.lit(0))
 
@@ -138,11 +170,8 @@ def text_lines(c: Column | str) -> Column:
 
 
 def contains_any(c: Column | str, words: list[str]) -> Column:
-    """True when the text contains one of the literal words (case-sensitive)."""
+    """True when the text contains one of the literal words (case-sensitive). For short lists;
+    ``operators.gazetteer`` takes long ones as a table."""
     c = _col(c)
     words = list(dict.fromkeys(words))
-    if not words:
-        return F.lit(False)
-    if len(words) > 200:  # keep generated code small for long lists
-        return F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(c, w))
-    return reduce(lambda a, b: a | b, [c.contains(w) for w in words])
+    return reduce(lambda a, b: a | b, [c.contains(w) for w in words]) if words else F.lit(False)

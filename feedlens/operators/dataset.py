@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedlens.functions.labels import first_line_label, label_message, rest_label
-from feedlens.functions.text import _col, first_line, text_lines, ws_tokens
+from feedlens.functions.text import _col, first_line, text_lines, ws_gaps, ws_tokens
+from feedlens.operators.gazetteer import mark_places
+from feedlens.session import stored
 
 
 def label_sentences(
@@ -30,38 +32,59 @@ def label_sentences(
     )
 
 
+def _word_rows(df: DataFrame, keys: list[str], text: str, gaps: bool) -> DataFrame:
+    """Token rows ``pos, token, previous`` of the texts, and with ``gaps`` the whitespace before
+    each token (``gap``) and behind the last one (``tail``)."""
+    arrays = [F.col("_words").alias("token"), F.concat(F.array(F.lit("")), F.col("_words")).alias("previous")]
+    columns = ["pos", "t.token", "t.previous"]
+    words = df.select(*keys, ws_tokens(text).alias("_words"), *([ws_gaps(text).alias("_gaps")] if gaps else []))
+    if gaps:
+        arrays += [F.col("_gaps").alias("gap"), F.slice("_gaps", F.lit(2), F.size("_gaps")).alias("tail")]
+        last = F.col("pos") == F.size("_words") - 1
+        columns += ["t.gap", F.when(last, F.col("t.tail")).otherwise("").alias("tail")]
+    # The shifted arrays are one longer: their last item has no token.
+    return (
+        words.select(*keys, *(["_words"] if gaps else []), F.posexplode(F.arrays_zip(*arrays)).alias("pos", "t"))
+        .where(F.col("t.token").isNotNull())
+        .select(*keys, *columns)
+    )
+
+
 def labeled_tokens(
     df: DataFrame,
     key: str = "id",
     text: str = "text",
     marks: list[str] | None = None,
-    places: list[str] | None = None,
+    places: list[str] | DataFrame | None = None,
     keep: list[str] | None = None,
+    gaps: bool = False,
 ) -> DataFrame:
     """Messages -> token rows ``sid, pos, token, previous, label`` and the columns in ``keep``.
 
     The same rows as ``token_rows(label_sentences(df))``. The label comes after the explode
-    here, so that it is a plain column in generated code.
+    here, so that it is a plain column in generated code. ``gaps`` adds ``gap`` and ``tail``,
+    the whitespace before each token and behind the last one. ``places`` is a short list, or
+    a table with a ``place`` column of any size.
     """
     keys = ["sid", *(keep or [])]
-    words = df.withColumn("sid", F.col(key)).select(
-        *keys, ws_tokens(text).alias("_words"), F.size(ws_tokens(first_line(text))).alias("_first")
-    )
-    shifted = F.arrays_zip(
-        F.col("_words").alias("token"), F.concat(F.array(F.lit("")), F.col("_words")).alias("previous")
-    )
-    label = F.when(F.col("pos") < F.col("_first"), first_line_label(F.col("pos"))).otherwise(
-        rest_label("token", marks, places)
-    )
-    # The shifted array is one longer: its last item has no token.
-    return (
-        words.select(*keys, "_first", F.posexplode(shifted).alias("pos", "t"))
-        .where(F.col("t.token").isNotNull())
-        .select(*keys, "_first", "pos", "t.token", "t.previous")
-        .select(*keys, "pos", "token", "previous", label.alias("label"))
+    words = df.withColumn("sid", F.col(key)).withColumn("_first", F.size(ws_tokens(first_line(text))))
+    rows = _word_rows(words, [*keys, "_first"], text, gaps)
+    rest = rest_label("token", marks, None if isinstance(places, DataFrame) else places)
+    if isinstance(places, DataFrame):
+        rows = mark_places(rows, places, out="_place")
+        plain = rest_label("token", marks, [])
+        rest = F.when((plain == "O") & F.col("_place"), F.lit("I-LOC")).otherwise(plain)
+    label = F.when(F.col("pos") < F.col("_first"), first_line_label(F.col("pos"))).otherwise(rest)
+    return rows.select(
+        *keys, "pos", "token", "previous", label.alias("label"), *(["gap", "tail"] if gaps else [])
     )
 
 
+def text_tokens(df: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
+    """Unlabelled texts -> token rows ``sid, pos, token, previous, gap, tail``."""
+    return _word_rows(df.withColumn("sid", F.col(key)), ["sid"], text, gaps=True)
+
+
 def label_counts(
     df: DataFrame, text: str = "text", marks: list[str] | None = None, places: list[str] | None = None
 ) -> DataFrame:
@@ -135,6 +158,9 @@ def decode_tags(ids: Column | str, labels: list[str]) -> Column:
     return F.transform(_col(ids), lambda i: F.get(names, i))
 
 
+_DIGEST_DIGITS = 32
+
+
 def _digest(key: Column | str, seed: int) -> Column:
     text = _col(key).cast("string")
     return F.md5(F.concat(F.lit(str(seed)), F.lit(":"), text) if seed else text)
@@ -166,31 +192,37 @@ def train_test_split(
     return df.where(~in_test), df.where(in_test)
 
 
+#: A digest prefix of at most so many rows is sorted to find the boundary inside it.
+FEW_ROWS = 10_000
+_ROUND_DIGITS = 4
+
+
 def exact_split(df: DataFrame, key: str = "sid", test_share: float = 0.2, seed: int = 0) -> DataFrame:
     """``df`` with ``test``: true for exactly ceil(share x n) rows, those with the smallest
     digest of the (unique) key.
 
-    No global sort: counts per 16-bit digest prefix (65,536 rows at most) tell which
-    prefix holds the boundary, and only the rows of that prefix are ranked.
+    No global sort: each round counts the rows per next four digits of the digest (65,536
+    counts at most) within the prefix that holds the boundary, one scan a round, until that
+    prefix holds ``FEW_ROWS`` at most. A round has a 65,536th of the rows of the one before,
+    so no task ranks a part that grows with them. Runs while it is called.
     """
     df = df.withColumn("_digest", _digest(key, seed))
-    prefix = F.substring("_digest", 1, 4)
-    counts = df.groupBy(prefix.alias("_prefix")).agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("n").over(Window.partitionBy())
-    edges = counts.select(
-        "_prefix",
-        (upto - F.col("n")).alias("before"),
-        upto.alias("upto"),
-        F.ceil(total * F.lit(test_share)).alias("wanted"),
-    )
-    edge = edges.where((F.col("upto") >= F.col("wanted")) & (F.col("before") < F.col("wanted")))
-    edge_prefix = edge.select("_prefix").scalar()
-    need = edge.select(F.col("wanted") - F.col("before")).scalar()
-    in_edge = df.where(prefix == edge_prefix).select("_digest")
-    rank = F.row_number().over(Window.orderBy("_digest"))
-    last_digest = (
-        in_edge.select("_digest", rank.alias("_rank")).where(F.col("_rank") == need)
-        .select("_digest").scalar()
-    )
-    return df.withColumn("test", F.coalesce(F.col("_digest") <= last_digest, F.lit(False))).drop("_digest")
+    prefix, wanted = "", None
+    while True:
+        digits = len(prefix) + _ROUND_DIGITS
+        some = df.where(F.col("_digest").startswith(prefix))
+        counts = some.groupBy(F.substring("_digest", 1, digits).alias("prefix")).agg(F.count(F.lit(1)).alias("n"))
+        counts = stored(counts, "digest-counts")
+        if wanted is None:
+            total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
+            wanted = math.ceil(total * test_share)
+            if not wanted:
+                return df.withColumn("test", F.lit(False)).drop("_digest")
+        upto = F.sum("n").over(Window.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0))
+        edge = counts.select("prefix", "n", upto.alias("upto")).where(F.col("upto") >= wanted).orderBy("prefix").first()
+        prefix, wanted = edge["prefix"], wanted - (edge["upto"] - edge["n"])
+        if edge["n"] <= FEW_ROWS or digits >= _DIGEST_DIGITS:
+            break
+    boundary = some.where(F.col("_digest").startswith(prefix)).select("_digest").orderBy("_digest").limit(wanted)
+    last = boundary.agg(F.max("_digest").alias("last")).first()["last"]
+    return df.withColumn("test", F.coalesce(F.col("_digest") <= last, F.lit(False))).drop("_digest")

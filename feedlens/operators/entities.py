@@ -9,52 +9,71 @@ from feedlens import rules
 from feedlens.operators.metrics import mark_spans
 
 
+def with_gaps(tokens: DataFrame) -> DataFrame:
+    """Token rows with the whitespace before each token (``gap``) and behind the last one
+    (``tail``). Without these columns the text is taken to be the tokens joined by one space."""
+    if "gap" in tokens.columns:
+        return tokens
+    return tokens.withColumn("gap", F.when(F.col("pos") == 0, "").otherwise(" ")).withColumn("tail", F.lit(""))
+
+
 def with_offsets(tokens: DataFrame) -> DataFrame:
-    """Adds character ``start`` and ``end`` (excluded) of every token in the sentence text,
-    which is its tokens joined by one space."""
-    before = Window.partitionBy("sid").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.length("token") + 1).over(before), F.lit(0))
-    return tokens.withColumn("start", start).withColumn("end", F.col("start") + F.length("token"))
+    """Adds ``start`` and ``end`` (excluded) of every token in its text, in code points."""
+    upto = Window.partitionBy("sid").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    placed = with_gaps(tokens)
+    end = F.sum(F.length("gap") + F.length("token")).over(upto)
+    return placed.withColumn("end", end).withColumn("start", F.col("end") - F.length("token"))
 
 
 def _segments(tokens: DataFrame, tag: str, score: str) -> DataFrame:
-    """Tokens of one entity, or tokens between two entities (``entity`` NULL), as one row."""
-    placed = tokens if "start" in tokens.columns else with_offsets(tokens)
-    words = F.transform(
-        F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]
-    )
+    """Tokens of one entity, or tokens between two entities (``entity`` NULL), as one row; the
+    word is the text from the first token's start to the last one's end."""
+    items = F.sort_array(F.collect_list(F.struct("pos", "gap", "token", "tail")))
     return (
-        mark_spans(placed, tag=tag)
+        mark_spans(with_offsets(tokens), tag=tag)
         .groupBy("sid", "span", F.col("type").alias("entity"))
         .agg(
-            F.array_join(words, " ").alias("word"),
+            items.alias("items"),
             F.avg(score).alias("score"),
             F.min("start").alias("start"),
             F.max("end").alias("end"),
         )
+        .select(
+            "sid", "span", "entity", "score", "start", "end",
+            F.array_join(
+                F.transform("items", lambda x, i: F.when(i == 0, x["token"]).otherwise(F.concat(x["gap"], x["token"]))), ""
+            ).alias("word"),
+            F.get("items", F.lit(0))["gap"].alias("lead"),
+            F.element_at("items", -1)["tail"].alias("tail"),
+        )
     )
 
 
 def group_entities(tokens: DataFrame, tag: str = "prediction", score: str = "score") -> DataFrame:
     """Adjacent tokens of one type -> ``sid, entity, word, score, start, end``; a ``B-`` tag
-    starts a new entity, the score is the mean and the prefix is stripped.
+    starts a new entity, the score is the mean and the prefix is stripped. ``word`` is the
+    slice of the text from ``start`` to ``end``, whatever whitespace stands inside.
 
     Offsets, islands and the grouping all use one exchange on the sentence.
     """
-    return _segments(tokens, tag, score).where(F.col("entity").isNotNull()).drop("span")
+    found = _segments(tokens, tag, score).where(F.col("entity").isNotNull())
+    return found.select("sid", "entity", "word", "score", "start", "end")
 
 
 def texts_with_entities(tokens: DataFrame, tag: str = "prediction", score: str = "score") -> DataFrame:
     """Tagged tokens -> ``sid, text, entities``, one row per sentence, in the same single
-    exchange. The text is the tokens joined by one space; entities are in text order."""
-    record = F.struct("start", "end", "entity", "word", "score")
+    exchange. The text is the one that the tokens with their gaps come from; entities are in
+    text order."""
+    record = F.struct("start", "end", "entity", "word", "score", "lead", "tail")
     sentences = _segments(tokens, tag, score).groupBy("sid").agg(
         F.sort_array(F.collect_list(record)).alias("segments")
     )
+    kept = F.filter("segments", lambda s: s["entity"].isNotNull())
     return sentences.select(
         "sid",
-        F.array_join(F.transform("segments", lambda s: s["word"]), " ").alias("text"),
-        F.filter("segments", lambda s: s["entity"].isNotNull()).alias("entities"),
+        F.array_join(F.transform("segments", lambda s: F.concat(s["lead"], s["word"], s["tail"])), "").alias("text"),
+        F.transform(kept, lambda s: F.struct(
+            *[s[c].alias(c) for c in ("start", "end", "entity", "word", "score")])).alias("entities"),
     )
 
 

@@ -87,6 +87,35 @@ def model_rows(model: DataFrame, labels: list[str] | None = None) -> DataFrame:
     return model.select("feature", "key", "total", F.inline(entries))
 
 
+def resolve(
+    vocabulary: DataFrame, model: DataFrame, variants: list[list[str]], labels: list[str] | None = None
+) -> DataFrame:
+    """Adds ``scores<i>`` for each list of features to a table of distinct tokens: the scores of
+    the first feature that was seen in training. Each feature of the model is joined once,
+    however many variants use it. Pass a stored model."""
+    labels = labels or rules.TAGS
+    features = list(dict.fromkeys(f for variant in variants for f in variant))
+    for i, feature in enumerate(features):
+        part = model.where(F.col("feature") == feature).select(
+            F.col("key").alias(f"_k{i}"), F.col("scores").alias(f"_s{i}")
+        )
+        vocabulary = vocabulary.join(part, feature_key(feature) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+    # An untrained model has no prior row either: every tag is then equally likely.
+    even = F.array_repeat(F.lit(1.0 / len(labels)), len(labels))
+    prior = model.where(F.col("feature") == PRIOR).select("scores").scalar()
+    columns = [c for c in vocabulary.columns if c not in {f"_s{i}" for i in range(len(features))}]
+    return vocabulary.select(*columns, *[
+        F.coalesce(*[F.col(f"_s{features.index(f)}") for f in variant], prior, even).alias(f"scores{v}")
+        for v, variant in enumerate(variants)
+    ])
+
+
+def best_label(scores: Column, labels: list[str] | None = None) -> Column:
+    """The label of the highest score, the first of equal ones."""
+    at = F.array_position(scores, F.array_max(scores)).cast("int") - 1
+    return F.get(F.array(*map(F.lit, labels or rules.TAGS)), at)
+
+
 def apply_tagger(
     rows: DataFrame, model: DataFrame, features: list[str], labels: list[str] | None = None
 ) -> DataFrame:
@@ -96,31 +125,68 @@ def apply_tagger(
     vocabulary is stored (it is read several times, and its size decides the join), and
     the token rows are joined to it, frequent tokens by broadcast. Pass a stored model.
     """
-    labels = labels or rules.TAGS
     inputs = _inputs(features)
     vocabulary = rows.groupBy(*inputs).agg(F.count(F.lit(1)).alias("n"))
-    found = []
-    for i, feature in enumerate(features):
-        part = model.where(F.col("feature") == feature).select(
-            F.col("key").alias(f"_k{i}"), F.col("scores").alias(f"_s{i}")
-        )
-        vocabulary = vocabulary.join(part, feature_key(feature) == F.col(f"_k{i}"), "left")
-        found.append(F.col(f"_s{i}"))
-    # An untrained model has no prior row either: every tag is then equally likely.
-    even = F.array_repeat(F.lit(1.0 / len(labels)), len(labels))
-    prior = model.where(F.col("feature") == PRIOR).select("scores").scalar()
-    best = F.array_max("scores")
-    resolved = (
-        vocabulary.select(*inputs, "n", F.coalesce(*found, prior, even).alias("scores"))
-        .withColumn("score", best)
-        .withColumn(
-            "prediction",
-            F.get(F.array(*map(F.lit, labels)), F.array_position("scores", F.col("score")).cast("int") - 1),
-        )
+    scores = F.col("scores0")
+    resolved = resolve(vocabulary, model, [features], labels).select(
+        *inputs, "n", scores.alias("scores"), F.array_max(scores).alias("score"),
+        best_label(scores, labels).alias("prediction"),
     )
     return join_by_key_counts(rows, stored(resolved, "vocabulary"), inputs)
 
 
+def evaluate_variants(
+    rows: DataFrame, model: DataFrame, variants: dict[str, list[str]], labels: list[str] | None = None
+) -> DataFrame:
+    """``model, eval_loss, eval_f1`` of several variants on labelled token rows, in one pass.
+
+    One vocabulary holds a prediction per variant; the loss is summed over it, by the number
+    of occurrences of each label. The token rows meet it once and are brought together by
+    sentence once, with all predictions side by side.
+    """
+    labels = labels or rules.TAGS
+    features = list(variants.values())
+    inputs = _inputs([f for variant in features for f in variant])
+    counts = [f"n{i}" for i in range(len(labels))]
+    vocabulary = rows.groupBy(*inputs).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col("label") == lab).alias(n) for n, lab in zip(counts, labels)],
+    )
+
+    def loss(scores: Column) -> Column:
+        of_label = [-F.ln(F.get(scores, F.lit(i))) * F.col(n) for i, n in enumerate(counts)]
+        return sum(of_label[1:], of_label[0])
+
+    number = range(len(features))
+    resolved = stored(
+        resolve(vocabulary, model, features, labels).select(
+            *inputs, "n",
+            *[best_label(F.col(f"scores{v}"), labels).alias(f"p{v}") for v in number],
+            *[loss(F.col(f"scores{v}")).alias(f"loss{v}") for v in number],
+        ),
+        "vocabulary",
+    )
+    losses = resolved.agg(F.sum("n").alias("n"), *[F.sum(f"loss{v}").alias(f"loss{v}") for v in number])
+    guesses = [f"p{v}" for v in number]
+    tagged = join_by_key_counts(rows, resolved.select(*inputs, "n", *guesses), inputs)
+    items = F.sort_array(F.collect_list(F.struct("pos", "label", *guesses)))
+    sentences = tagged.groupBy("sid").agg(items.alias("items"))
+    spans = sentences.select(*[span_keys(F.col(f"items.{c}")).alias(c) for c in ["label", *guesses]])
+    sums = spans.agg(
+        *[F.sum(F.size(F.array_intersect("label", g))).alias(f"found_{g}") for g in guesses],
+        *[F.sum(F.size("label") + F.size(g)).alias(f"spans_{g}") for g in guesses],
+    )
+
+    def row(v: int, name: str) -> Column:
+        found, total = F.col(f"found_p{v}"), F.col(f"spans_p{v}")
+        f1 = F.when(total > 0, found * 2 / total).otherwise(F.lit(0.0))
+        loss_v = round_to(F.col(f"losses.loss{v}") / F.col("losses.n"), 6)
+        return F.struct(F.lit(name).alias("model"), loss_v.alias("eval_loss"), round_to(f1, 6).alias("eval_f1"))
+
+    both = sums.withColumn("losses", losses.select(F.struct("*")).scalar())
+    return both.select(F.inline(F.array(*[row(v, m) for v, m in enumerate(variants)])))
+
+
 def argmax_labels(scores: DataFrame, keys: list[str]) -> DataFrame:
     """Long score rows (``keys, label, label_id, score``) -> the best label per key; the
     smallest id wins ties."""

@@ -167,17 +167,25 @@ TAGGED_SPANS = f"{TAGGED}, {spans_of('tagged', 'label', 'truth')}, {spans_of('ta
 HITS = """hits as (
   select * from truth join guess using (sid, type, "start", "end"))"""
 
-# Offsets in the text made of the tokens joined by one space.
-GROUPED = f"""{TAGGED}, placed as (
-  select *, coalesce(sum(len(token) + 1) over (partition by sid order by pos
-         rows between unbounded preceding and 1 preceding), 0) as first_char from tagged),
+# Offsets in the message: each token with the whitespace before it. Gaps and tokens in turn are
+# the text, so gap i stands before token i if the text begins with whitespace, else token i - 1.
+GROUPED = f"""{TAGGED}, gaps as (
+  select sid, cast(unnest(range(len(g))) as integer) as pos, unnest(g) as gap from (
+    select id as sid, case when regexp_matches(text, '^{WS}') then regexp_extract_all(text, '{WS}+')
+           else list_prepend('', regexp_extract_all(text, '{WS}+')) end as g
+    from posts)),
+placed as (
+  select *, sum(len(gap) + len(token)) over (partition by sid order by pos) as last_char
+  from tagged join gaps using (sid, pos)),
 {spans_of('placed', 'prediction', 'guess')},
+slices as (
+  select sid, span, type, avg(score) as mean, cast(min(last_char - len(token)) as bigint) as "start",
+         cast(max(last_char) as bigint) as "end" from guess_c group by sid, span, type),
 entities as (
-  select sid, type as entity, string_agg(token, ' ' order by pos) as word, avg(score) as mean,
-         cast(min(first_char) as bigint) as "start", cast(max(first_char + len(token)) as bigint) as "end"
-  from guess_c where type is not null group by sid, span, type),
+  select sid, span, type as entity, substr(text, "start" + 1, "end" - "start") as word, mean, "start", "end"
+  from slices join posts on id = sid where type is not null),
 texts as (
-  select sid, string_agg(token, ' ' order by pos) as text from tagged group by sid)"""
+  select distinct sid, text from tagged join posts on id = sid)"""
 
 
 def scores(found: str, predicted: str, actual: str) -> str:
@@ -289,6 +297,11 @@ ORACLES: dict[str, str] = {
     "write_messages_roundtrip": f"with {MESSAGES} select * from ({RECORD}) where len(message) > 0",
     "latest_n_per_channel": f"""with {POSTS} select channel_username, id, views from posts
         qualify row_number() over (partition by channel_username order by id desc) <= 5""",
+    "latest_messages": f"""with {POSTS}, landed as (
+          select channel_username, id, message from posts
+          union all select channel_username, id, message from posts where id % 3 = 0)
+        select channel_username, id, message from landed
+        qualify row_number() over (partition by channel_username order by id desc) <= 5""",
     "message_record": f"with {MESSAGES} {RECORD}",
     "media_path": f"with {POSTS} select id, {MEDIA} as media_path from posts",
     "conll_lines": f"""with {TOKENS}, blocks as (
@@ -351,6 +364,13 @@ ORACLES: dict[str, str] = {
     "label_phone": f"{REST_TOKENS} select id, pos, token from rest where {PHONE}",
     "label_price": f"{REST_TOKENS} select id, pos, token from rest where {PRICE}",
     "label_location": f"{REST_TOKENS} select id, pos, token from rest where {PLACE}",
+    "label_location_table": f"""{REST_TOKENS}, gazetteer as (
+          select unnest([{', '.join(map(quoted, rules.LOCATIONS))}]) as place
+          union select lower(n_name) from nation union select lower(split_part(p_name, ' ', 1)) from part),
+        places as (
+          select token from (select distinct token from rest) t
+          where exists (select 1 from gazetteer where contains(token, place)))
+        select id, pos, token from rest semi join places using (token)""",
     "label_rest_tokens": f"""{REST_TOKENS} select id, {REST_LABEL} as label, count(*) as tokens
         from rest group by 1, 2""",
     "label_message": f"""with {TOKENS}, sents as (
@@ -359,6 +379,11 @@ ORACLES: dict[str, str] = {
         select p.id as sid, coalesce(words, '') as words, coalesce(labels, '') as labels
         from posts p left join sents s on s.sid = p.id""",
     "label_counts": f"with {TOKENS} select label, count(*) as tokens from tokens group by label",
+    "run_labelling": f"""with {POSTS}, lists as (
+          select regexp_extract_all({plain_chars(plain_punct(long_forms(plain_labials(no_emoji('text')))))},
+                                    '[{rules.SCRIPTS['ethiopic']}]+') as l from posts)
+        select case when pos = 0 then 'B-PRODUCT' else 'I-PRODUCT' end as label, count(*) as tokens
+        from (select unnest(range(len(l))) as pos from lists) group by 1""",
     "labeled_message_count": "select count(*) as messages from documents",
     # E
     "label_list": f"with {TOKENS} select distinct label from tokens",
@@ -438,14 +463,19 @@ ORACLES: dict[str, str] = {
           select sid, count(*) as n, max(mean) as best from entities group by sid)
         select sid, cast(coalesce(n, 0) as integer) as entities, coalesce(best, 0) < {rules.LOW_CONFIDENCE} as flagged
         from texts left join best using (sid)""",
-    "highlight_entities": f"""with {GROUPED}, segments as (
-          select sid, span, type, min(pos) as first_pos, string_agg(token, ' ' order by pos) as word
-          from guess_c group by sid, span, type)
-        select sid, string_agg(case when type is null then word
-            else case when type = 'PRODUCT' then {quoted(rules.SPAN_OPEN.format(color=rules.PRODUCT_COLOR))}
-                 else {quoted(rules.SPAN_OPEN.format(color=rules.OTHER_COLOR))} end
-                 || word || '{rules.SPAN_CLOSE}' end, ' ' order by first_pos) as html
-        from segments group by sid""",
+    "highlight_entities": f"""with {GROUPED}, marks as (
+          select sid, "start" as place, 1 as kind, case when entity = 'PRODUCT'
+            then {quoted(rules.SPAN_OPEN.format(color=rules.PRODUCT_COLOR))}
+            else {quoted(rules.SPAN_OPEN.format(color=rules.OTHER_COLOR))} end as mark from entities
+          union all select sid, "end", 0, '{rules.SPAN_CLOSE}' from entities
+          union all select sid, 0, -1, '' from texts),
+        pieces as (
+          select sid, place, kind, mark || substr(text, place + 1,
+            coalesce(lead(place) over (partition by sid order by place, kind), length(text)) - place) as piece
+          from marks join texts using (sid))
+        select sid, string_agg(piece, '' order by place, kind) as html from pieces group by sid""",
+    "text_report": f"""with {GROUPED} select text, word, entity as label, {rounded('mean', 6)} as score
+        from entities join texts using (sid)""",
     "label_names": f"""with {TOKENS}, named as (
           select case label when 'O' then 'LABEL_0' when 'B-PRODUCT' then 'LABEL_1'
                  when 'I-PRODUCT' then 'LABEL_2' end as name from tokens)

@@ -22,12 +22,14 @@ from feedlens.functions.spans import tag_spans
 from feedlens.operators import cleaning as C
 from feedlens.operators import dataset as D
 from feedlens.operators import entities as E
+from feedlens.operators import gazetteer as Z
 from feedlens.operators import metrics as M
 from feedlens.operators import profile as R
 from feedlens.operators import scorecard as S
 from feedlens.operators import tagging as G
 from feedlens.operators import topn as N
 from feedlens.operators import user_functions as K
+from feedlens.plans import labelling as B
 from feedlens.plans import tagging as T
 from feedlens.session import new_path
 from feedlens.sources import conll, shop_tables, tables
@@ -67,15 +69,20 @@ def sentences(spark, sf):
     return D.label_sentences(posts(spark, sf), key="id", text="text")
 
 
-def split_tokens(spark, sf):
+def split_tokens(spark, sf, gaps=False):
     messages = posts(spark, sf).withColumn("test", D.is_test("id"))
-    return T.split_tokens(D.labeled_tokens(messages, keep=["test"]))
+    return T.split_tokens(D.labeled_tokens(messages, keep=["test"], gaps=gaps))
 
 
 def tagged(spark, sf):
     return T.tag_test_part(split_tokens(spark, sf), VARIANT)
 
 
+def placed(spark, sf):
+    """Tagged tokens that know their places in the messages."""
+    return T.tag_test_part(split_tokens(spark, sf, gaps=True), VARIANT)
+
+
 # ---- A: sources and sinks --------------------------------------------------------
 
 @query
@@ -99,6 +106,14 @@ def latest_n_per_channel(spark, sf):
     return N.latest_n_per_channel(light(spark, sf).select("channel_username", "id", "views"), 5)
 
 
+@query
+def latest_messages(spark, sf):
+    """Whole messages, some of which landed twice."""
+    landed = light(spark, sf)
+    rows = landed.unionByName(landed.where("id % 3 = 0")).select("channel_username", "id", "message")
+    return N.latest_n_per_channel(rows, 5)
+
+
 @query
 def message_record(spark, sf):
     return C.message_record(shop_tables.messages(spark, sf), MEDIA_FOLDER)
@@ -272,6 +287,20 @@ def label_location(spark, sf):
     return _rest_tokens(spark, sf).where(L.is_location("token"))
 
 
+def gazetteer(spark, sf):
+    """Places as a table: the listed ones and words of the shop's tables."""
+    listed = F.explode(F.array(*map(F.lit, rules.LOCATIONS))).alias("place")
+    nations = shop_tables.read(spark, sf, "nation").select(F.lower("n_name").alias("place"))
+    parts = shop_tables.read(spark, sf, "part").select(F.lower(F.substring_index("p_name", " ", 1)).alias("place"))
+    return spark.range(1).select(listed).unionByName(nations).unionByName(parts)
+
+
+@query
+def label_location_table(spark, sf):
+    rows = Z.mark_places(_rest_tokens(spark, sf), gazetteer(spark, sf))
+    return rows.where("is_place").drop("is_place")
+
+
 @query
 def label_rest_tokens(spark, sf):
     labeled = _rest_tokens(spark, sf).withColumn("label", L.rest_label("token"))
@@ -291,6 +320,13 @@ def label_counts(spark, sf):
     return D.label_counts(posts(spark, sf))
 
 
+@query
+def run_labelling(spark, sf):
+    """Preprocessed messages as a CoNLL file, and the tokens per label in it."""
+    messages = posts(spark, sf).withColumn("message", F.col("text"))
+    return B.run_labelling(messages, new_path(spark, "labelled"))
+
+
 @query
 def labeled_message_count(spark, sf):
     return D.labeled_message_count(sentences(spark, sf))
@@ -440,12 +476,12 @@ def model_comparison(spark, sf):
 
 @query
 def group_entities(spark, sf):
-    grouped = E.group_entities(tagged(spark, sf))
+    grouped = E.group_entities(placed(spark, sf))
     return grouped.withColumn("score", round_to("score", 6))
 
 
 def _texts(spark, sf):
-    return E.texts_with_entities(tagged(spark, sf))
+    return E.texts_with_entities(placed(spark, sf))
 
 
 @query
@@ -467,6 +503,18 @@ def highlight_entities(spark, sf):
     return texts.select("sid", EF.highlight_entities("text", "entities").alias("html"))
 
 
+@query
+def text_report(spark, sf):
+    """Texts in, report out: the tagger of the training part on the untokenised test messages,
+    written as a file and read back."""
+    messages = posts(spark, sf)
+    train = D.labeled_tokens(messages.where(~D.is_test("id")))
+    model = G.store_model(G.train_tagger(train, G.VARIANTS[VARIANT]))
+    path = new_path(spark, "report")
+    T.run_report(messages.where(D.is_test("id")), model, G.VARIANTS[VARIANT], path, fmt="parquet")
+    return spark.read.parquet(path).withColumn("score", round_to("score", 6))
+
+
 @query
 def label_names(spark, sf):
     index = F.array_position(F.lit(["O", "B-PRODUCT", "I-PRODUCT"]), F.col("label")) - 1

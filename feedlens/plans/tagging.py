@@ -7,9 +7,10 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.functions.text import ws_tokens
 from feedlens.operators import dataset as D
+from feedlens.operators import entities as E
 from feedlens.operators import tagging as G
+from feedlens.sources.tables import write_table
 
 
 def split_tokens(rows: DataFrame) -> DataFrame:
@@ -55,8 +56,8 @@ def compare_models(
 ) -> DataFrame:
     """``model, eval_loss, eval_f1`` of each variant on one split, best F1 first.
 
-    The variants share one training pass. ``timed`` trains and runs each on its own, one
-    after the other, and adds ``runtime`` in seconds.
+    The variants share one training pass and one tagging pass. ``timed`` trains and runs each
+    on its own, one after the other, and adds ``runtime`` in seconds.
     """
     variants = variants or list(G.VARIANTS)
     columns = ["model", "eval_loss", "eval_f1"]
@@ -75,9 +76,7 @@ def compare_models(
         table = spark.createDataFrame(rows, "model string, eval_loss double, eval_f1 double, runtime double")
     else:
         model = train_model(tokens, variants, labels)
-        table = result(variants[0], model)
-        for variant in variants[1:]:
-            table = table.unionByName(result(variant, model))
+        table = G.evaluate_variants(test_part(tokens), model, {v: G.VARIANTS[v] for v in variants}, labels)
     return table.orderBy(F.desc("eval_f1"), "model")
 
 
@@ -85,10 +84,22 @@ def tag_texts(
     texts: DataFrame, model: DataFrame, features: list[str], key: str = "id", text: str = "text",
     labels: list[str] | None = None,
 ) -> DataFrame:
-    """Tag unlabelled texts: token rows with ``prediction`` and ``score``."""
-    words = F.transform(
-        ws_tokens(text), lambda t: F.struct(t.alias("token"), F.lit(None).cast("string").alias("label"))
-    )
-    rows = D.token_rows(texts.select(F.col(key).alias("sid"), words.alias("tokens")))
-    return G.apply_tagger(rows.drop("label"), model, features, labels)
+    """Tag unlabelled texts: token rows with ``prediction`` and ``score``, and the gaps that
+    entity offsets need."""
+    return G.apply_tagger(D.text_tokens(texts, key, text), model, features, labels)
 
+
+def report_texts(
+    texts: DataFrame, model: DataFrame, features: list[str], key: str = "id", text: str = "text",
+    labels: list[str] | None = None,
+) -> DataFrame:
+    """``text, word, label, score`` of every entity found in unlabelled texts."""
+    return E.entity_report(E.texts_with_entities(tag_texts(texts, model, features, key, text, labels)))
+
+
+def run_report(
+    texts: DataFrame, model: DataFrame, features: list[str], out: str, fmt: str = "csv", key: str = "id",
+    text: str = "text", labels: list[str] | None = None,
+) -> None:
+    """Write the entity report of unlabelled texts."""
+    write_table(report_texts(texts, model, features, key, text, labels), out, fmt)

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedlens.functions.text import NOT_WS, WS, WS_CHARS, _col
+from feedlens.functions.text import NOT_WS, WS_CHARS, _col
+from feedlens.operators.skew import broadcast_if_small
+from feedlens.session import stored
 
-# Newline, then lines of nothing but whitespace.
-_BLANK_LINES = rf"\n({WS}*\n)+"
 # Whitespace inside a line, and a line of exactly two fields.
 _GAP = r"[\t\x{0B}-\r\x{1C}-\x{20}" + WS_CHARS[WS_CHARS.index(r"\x{85}"):] + "]"
+_BLOCK = ["file", "start", "place", "kind", "block"]
+#: Characters that a task holds before it hands them on.
+_HELD = 4 << 20
 _PAIR_LINE = f"(?md)^{_GAP}*{NOT_WS}+{_GAP}+{NOT_WS}+{_GAP}*$"
 
 
@@ -25,26 +31,104 @@ def write_conll(df: DataFrame, path: str, tokens: str = "tokens", mode: str = "e
     df.select(conll_block(tokens).alias("value")).write.mode(mode).option("lineSep", "\n\n").text(path)
 
 
-def read_conll(spark: SparkSession, path: str, line_sep: str = "\n\n") -> DataFrame:
-    """Sentences as ``sid, tokens array<struct<token,label>>``.
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines (file, start), in order within their range -> runs of lines that are not blank.
 
-    Lines that do not have exactly two fields are skipped and empty sentences vanish.
-    Files are split at ``line_sep``; a file with other line ends needs its own
-    (``"\\r\\n\\r\\n"``) to be split between tasks. ``sid`` is unique per read.
+    ``place`` is the number of sentences before it in its range. ``kind`` is ``whole``, or
+    ``more`` for the lines before a range's first blank one, which may go on a sentence of the
+    range before, and ``open`` for those behind its last one; a range that ends with a blank
+    line gives an empty ``closed``. Whole runs without a line of two fields are left out.
     """
-    raw = spark.read.option("lineSep", line_sep).text(path)
-    text = F.regexp_replace("value", r"\r\n?", "\n")
-    blocks = raw.select(F.explode(F.split(text, _BLANK_LINES)).alias("block"))
+    out: list[tuple] = []
+    held: list[str] = []
+    now, first, place, size = None, True, 0, 0
+
+    def put(kind: str) -> None:
+        nonlocal place
+        if kind != "whole" or any(len(x.split()) == 2 for x in held):
+            out.append((*now, place, kind, "\n".join(held)))
+            place += kind == "whole"
+        held.clear()
+
+    def leave() -> None:
+        if now and first and now[1] > 0:
+            put("more")
+        elif now:
+            put("open" if held else "closed")
+
+    def flush() -> pa.RecordBatch:
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+        columns = list(zip(*out)) if out else [()] * 5
+        out.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=_BLOCK)
+
+    for batch in batches:
+        for file, start, line in zip(*(c.to_pylist() for c in batch.columns)):
+            if now != (file, start):
+                leave()
+                now, first, place = (file, start), True, 0
+            size += len(line)
+            for own in line.removesuffix("\r").split("\r"):
+                if own and not own.isspace():
+                    held.append(own)
+                    continue
+                if first and start > 0:
+                    put("more")
+                elif held:
+                    put("whole")
+                first = False
+            if size > _HELD:
+                yield flush()
+                size = 0
+    leave()
+    yield flush()
+
+
+def read_conll(spark: SparkSession, path: str) -> DataFrame:
+    """Sentences as ``sid, tokens array<struct<token,label>>``, numbered 0, 1, ... in the order
+    of file names and of the places in a file, however the files are split between tasks.
+
+    Lines that do not have exactly two fields are skipped and empty sentences vanish; lines end
+    with ``\\n`` or ``\\r\\n``. Files are split at any line, and the parts of a sentence that
+    crosses a split are put together. The sentences are stored once; a count per file range and
+    the running sums of these counts turn their places into numbers.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+    blocks = stored(lines.mapInArrow(_blocks, "file string, start bigint, place bigint, kind string, block string"), "conll-blocks")
+    whole = blocks.where("kind = 'whole'").select("file", "start", "place", "block")
+    # Two parts a range at most. What a range ends with takes what the next ones begin with.
+    order = Window.partitionBy("file").orderBy("start", F.col("kind") != "more")
+    ends = F.col("kind") != "more"
+    edges = blocks.where("kind <> 'whole'").withColumn("number", F.sum(ends.cast("int")).over(order))
+    parts = F.sort_array(F.collect_list(F.struct("start", (F.col("kind") != "more").alias("end"), "place", "block")))
+    joined = edges.groupBy("file", "number").agg(parts.alias("parts")).select(
+        "file", F.col("parts")[0]["start"].alias("start"), F.col("parts")[0]["place"].alias("place"),
+        F.array_join(F.filter(F.transform("parts", lambda p: p["block"]), lambda x: x != ""), "\n").alias("block"))
 
     # Gaps become tabs once per block, so that each line splits at a plain character.
-    lines = F.split(F.regexp_replace("block", _GAP + "+", "\t"), "\n")
+    split = F.split(F.regexp_replace("block", _GAP + "+", "\t"), "\n")
     pairs = F.filter(
-        F.transform(lines, lambda line: F.array_remove(F.split(line, "\t"), "")),
-        lambda parts: F.size(parts) == 2,
+        F.transform(split, lambda line: F.array_remove(F.split(line, "\t"), "")),
+        lambda fields: F.size(fields) == 2,
     )
     tokens = F.transform(pairs, lambda p: F.struct(p[0].alias("token"), p[1].alias("label")))
     # The filter looks for one line of two fields; a filter on the parsed tokens would
     # parse every sentence twice.
-    return blocks.where(F.col("block").rlike(_PAIR_LINE)).select(
-        F.monotonically_increasing_id().alias("sid"), tokens.alias("tokens")
+    kept = whole.unionByName(joined.where(F.col("block").rlike(_PAIR_LINE)))
+    ranges = kept.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"))
+    ranges, _ = broadcast_if_small(stored(_numbered(ranges), "conll-ranges"))
+    return kept.join(ranges, ["file", "start"]).select((F.col("before") + F.col("place")).alias("sid"), tokens.alias("tokens"))
+
+
+def _numbered(ranges: DataFrame) -> DataFrame:
+    """Adds ``before``, the sentences before each range: those of earlier files (a row per file
+    meets in one task), and of earlier ranges of its own file."""
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    files = ranges.groupBy("file").agg(F.sum("n").alias("size"))
+    above = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select("file", F.coalesce(F.sum("size").over(above), F.lit(0)).alias("above"))
+    return ranges.withColumn("inside", inside).join(files, "file").select(
+        "file", "start", (F.col("inside") + F.col("above")).alias("before")
     )

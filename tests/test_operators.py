@@ -29,7 +29,8 @@ def test_latest_n_is_exact_under_skew(spark, feed):
     for channel in {r[1] for r in rows}:
         want |= {(channel, i) for i in sorted((r[0] for r in rows if r[1] == channel), reverse=True)[:7]}
     assert got == want
-    plan = N.latest_n_per_channel(df, 7)._jdf.queryExecution().executedPlan().toString()
+    ranked = N.top_n_per_group(df.select("channel_username", "id"), ["channel_username"], [F.desc("id")], ["id"], 7)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
@@ -150,3 +151,34 @@ def test_user_aggregate_with_few_states_and_decimal_state(spark):
         "t decimal(30,10), n bigint", "total bigint, n bigint", max_states=3)
     want = {f"v{k}": (sum(range(k, 1000, 50)), 20) for k in range(50)}
     assert {r["vendor"]: (r["total"], r["n"]) for r in result.collect()} == want
+
+
+def test_late_top_n_equals_a_sort_of_whole_rows(spark):
+    import random
+
+    rng = random.Random(9)
+    rows = [(rng.choice(["@a", "@b", None]), rng.choice([None, *range(12)]), f"text {i}") for i in range(150)]
+    df = spark.createDataFrame(rows, "channel_username string, id bigint, message string")
+    for n in (1, 3, 20, 500):
+        got = N.latest_n_per_channel(df, n).collect()
+        assert got and all(tuple(r) in rows for r in got)
+        for channel in ("@a", "@b", None):
+            own = sorted((r[1] for r in rows if r[0] == channel), key=lambda x: -1 if x is None else x, reverse=True)
+            assert sorted((r["id"] for r in got if r["channel_username"] == channel), key=str) == sorted(own[:n], key=str)
+        assert len({r["message"] for r in got}) == len(got)
+    assert N.latest_n_per_channel(df.where("false"), 3).collect() == []
+
+
+def test_late_top_n_sorts_no_messages(spark, tmp_path):
+    path = str(tmp_path / "messages")
+    spark.range(100).select(F.lit("@a").alias("channel_username"), "id", F.col("id").cast("string").alias("message")).write.parquet(path)
+    plan = N.latest_n_per_channel(spark.read.parquet(path), 5)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Window" not in plan
+
+
+def test_labelling_run(spark, tmp_path):
+    from feedlens.plans.labelling import run_labelling
+
+    df = spark.createDataFrame([(1, "ቡና 500 ሻይ"), (2, None), (3, "abc"), (4, "ቡና\nቦሌ")], "id bigint, message string")
+    counts = {r["label"]: r["tokens"] for r in run_labelling(df, str(tmp_path / "out")).collect()}
+    assert counts == {"B-PRODUCT": 2, "I-PRODUCT": 2}

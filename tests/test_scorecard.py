@@ -4,6 +4,7 @@ from feedlens.functions import entities as E
 from feedlens.operators import scorecard as S
 from feedlens.plans.scorecard import run_scorecard, scorecard_of
 from feedlens.schemas import SCORECARD_HEADER
+from feedlens.session import stored
 
 P = "'label': 'B-PRODUCT'"
 
@@ -97,15 +98,57 @@ def test_empty_feed_and_missing_columns(spark, tmp_path):
     assert back.columns == list(SCORECARD_HEADER.values()) and back.count() == 2
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_exchange_per_metric(spark, tmp_path):
     path = str(tmp_path / "posts")
     S.scorecard_input(feed(spark, ROWS)).write.parquet(path)
     posts = spark.read.parquet(path)
-    for df in (S.posts_per_week(posts), S.avg_price(posts), S.top_products(posts)):
-        plan = df._jdf.queryExecution().executedPlan().toString()
+    for df in (S.posts_per_week(posts), S.avg_price(posts)):
+        plan = plan_of(df)
         assert plan.count("Exchange") == 1 and "Python" not in plan
-    plan = S.vendor_scorecard(posts)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
+    # The winners come by broadcast, and meet in one shuffle.
+    for df in (S.top_products(posts), S.top_post(posts), S.vendor_scorecard(posts)):
+        plan = plan_of(df)
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.count("BroadcastExchange") == 1
+        assert "Python" not in plan
+
+
+def test_tops_are_found_without_sorting(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "posts")
+    S.scorecard_input(feed(spark, ROWS)).write.parquet(path)
+    posts, plans = spark.read.parquet(path), []
+
+    def noted(df, name, *rest):
+        plans.append(plan_of(df))
+        return stored(df, name, *rest)
+
+    monkeypatch.setattr(S, "stored", noted)
+    for df in (S.top_products(posts), S.top_post(posts), S.vendor_scorecard(posts)):
+        plans.append(plan_of(df).split("Exchange rangepartitioning")[-1])  # below the order of the result
+    assert len(plans) == 6
+    assert not any(word in plan for plan in plans for word in ("SortAggregate", "Sort [", "SortMergeJoin"))
+    assert all("HashAggregate" in plan for plan in plans)
+
+
+@pytest.mark.parametrize("order", ["id", "name"])
+def test_tops_with_missing_views_ties_and_text_orders(spark, order):
+    views = [5, None, 7, 7, None, 7, -3, 2 ** 60]
+    rows = [(i, "AB"[i % 2], f"m{i}", "2024-01-01", v, "[]", f"n{9 - i}") for i, v in enumerate(views)]
+    rows += [(20, "C", "x", "2024-01-01", None, "[]", "b"), (21, "C", "y", "2024-01-01", None, "[]", "a"),
+             (None, "D", "u", "2024-01-01", 4, "[]", None), (30, "D", "v", "2024-01-01", 4, "[]", "z")]
+    posts = S.scorecard_input(spark.createDataFrame(rows, SCHEMA + ", name string"))
+    got = {r["vendor"]: (r["message"], r["views"]) for r in S.top_post(posts, order=order).collect()}
+    column = {"id": 0, "name": 6}[order]
+    last = {"id": 2 ** 70, "name": "~"}[order]
+    want = {}
+    for vendor in "ABCD":
+        best = min((r for r in rows if r[1] == vendor), key=lambda r: (
+            -(r[4] if r[4] is not None else -2 ** 70), last if r[column] is None else r[column]))
+        want[vendor] = best[2], best[4]
+    assert got == want
 
 
 def test_highlight(spark):

@@ -111,3 +111,69 @@ def test_live_plan_goes_on_after_a_restart(spark, landing, tmp_path):
     assert run() == first
     land([("T", "@c1", 99, "late", "d", False, "2023-01-01 00:00:00")])
     assert run() == (first[0] + 1, first[1] + 1)
+
+
+def test_intervals_equal_a_set():
+    import random
+
+    from feedlens.streaming.seen import add
+
+    rng = random.Random(1)
+    starts, ends, seen = [], [], set()
+    for _ in range(4000):
+        n = rng.randint(-300, 300)
+        assert add(starts, ends, n) == (n not in seen)
+        seen.add(n)
+        assert len(starts) == len(ends) == sum(x - 1 not in seen for x in seen)
+
+
+def test_late_repeats_over_restarts(spark, landing, tmp_path):
+    path, land = landing
+    land([(None, None, None, "no id", "d", False, None), (None, "c0", None, "no id", "d", False, None)] * 2)
+
+    def rows():
+        live = read(spark, path, 1).withColumn("channel_username", F.ltrim(F.col("channel_username"), F.lit("@")))
+        return [(r["channel_username"], r["id"]) for r in drain(J.backfill_then_follow(read(spark, path, 1), live), tmp_path, "all").collect()]
+
+    assert len(rows()) == 52
+    # Very late: the very first messages again, and new ones.
+    land([("T", f"@c{i % 3}", i, "again", "d", False, "2020-01-01 00:00:00") for i in range(45, 60)])
+    got = rows()
+    assert len(got) == len(set(got)) == 62 and {i for _, i in got} == {None, *range(60)}
+    land([("T", "@c0", 0, "again", "d", False, "2020-01-01 00:00:00")])
+    assert sorted(rows(), key=str) == sorted(got, key=str)
+
+
+def test_state_of_ids_without_gaps_stays_flat(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "channel_username string, id bigint"
+
+    def run(first, last):
+        spark.range(first, last).select(F.lit("c").alias("channel_username"), "id").coalesce(1).write.mode("append").parquet(path)
+        from pyspark.sql.types import _parse_datatype_string
+
+        stream = J.first_of_each(J.read_landing(spark, path, _parse_datatype_string(schema)))
+        query = J.append_to(stream, out, out + "-state", once=True)
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    assert run(0, 1000) == run(1000, 40_000) == run(500, 60_000) == 1
+    assert run(60_000, 70_000) == 2
+    assert spark.read.parquet(out).count() == 70_000
+
+
+def test_live_plan_lands_a_message_of_both_feeds_once(spark, landing, tmp_path):
+    from feedlens.plans.live import run_live
+
+    path, land = landing
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run():
+        for flow in run_live(read(spark, path), "m", out, checkpoint, ["c0", "@c1"], once=True, backfill=read(spark, path)):
+            flow.awaitTermination()
+        return [spark.read.parquet(f"{out}/{t}").count() for t in ("raw", "clean")]
+
+    first = run()
+    assert first == [34, 27]
+    land([("T", "@c1", 99, "late", "d", False, "2023-01-01 00:00:00")])
+    assert run() == [35, 28]

@@ -156,3 +156,96 @@ def test_group_entities(spark):
     assert {r["sid"]: r["flagged"] for r in flags.collect()} == {1: False, 2: True, 3: False}
     plan = E.texts_with_entities(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def test_one_pass_gives_what_single_passes_give(tokens):
+    model = T.train_model(tokens, list(G.VARIANTS))
+    together = {r["model"]: tuple(r)[1:] for r in G.evaluate_variants(T.test_part(tokens), model, G.VARIANTS).collect()}
+    for variant in G.VARIANTS:
+        alone = G.evaluate(T.tag_test_part(tokens, variant, model=model)).first()
+        assert together[variant] == pytest.approx(tuple(alone), abs=2e-6)
+
+
+def test_variants_share_the_exchange_on_sentences(tokens):
+    model = T.train_model(tokens, list(G.VARIANTS))
+    plan = G.evaluate_variants(T.test_part(tokens), model, G.VARIANTS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(sid") == 1 and "CartesianProduct" not in plan
+
+
+def test_offsets_lie_in_the_message(spark):
+    rng = random.Random(3)
+    gaps = [" ", "  ", "\n", "\t \n", "\u00a0", " \u2003 "]
+    rows = []
+    for i in range(60):
+        text = rng.choice(["", " ", "\n\n", "😀 "])
+        for _ in range(rng.randint(1, 30)):
+            text += rng.choice(VOCABULARY + ["😀x", "é"]) + rng.choice(gaps)
+        rows.append((i, text if i % 2 else text.rstrip()))
+    rows += [(100, ""), (101, " \n"), (102, None)]
+    texts = spark.createDataFrame(rows, "id bigint, text string")
+    rows = dict(rows)
+    tokens = D.labeled_tokens(texts, gaps=True)
+    plain = D.labeled_tokens(texts).collect()
+    assert sorted(map(tuple, plain)) == sorted(map(tuple, tokens.drop("gap", "tail").collect()))
+    tagged = tokens.withColumn("prediction", F.col("label")).withColumn("score", F.lit(0.5))
+    found = E.group_entities(tagged).collect()
+    assert len(found) > 100
+    for e in found:
+        assert rows[e["sid"]][e["start"]:e["end"]] == e["word"] != ""
+    whole = E.texts_with_entities(tagged).collect()
+    assert len(whole) == 60
+    for r in whole:
+        assert r["text"] == rows[r["sid"]]
+        assert all(r["text"][e["start"]:e["end"]] == e["word"] for e in r["entities"])
+
+
+def test_report_from_texts_to_a_file(spark, tokens, tmp_path):
+    features = G.VARIANTS["token+suffix"]
+    model = T.train_model(tokens, ["token+suffix"])
+    texts = spark.createDataFrame([(1, "coffee  500\nbirr ቦሌ"), (2, " ")], "id bigint, text string")
+    T.run_report(texts, model, features, str(tmp_path / "report"))
+    back = spark.read.options(header=True, multiLine=True, escape='"').csv(str(tmp_path / "report"))
+    assert back.columns == ["text", "word", "label", "score"] and back.count() > 0
+    assert {r["text"] for r in back.collect()} == {"coffee  500\nbirr ቦሌ"}
+    assert all(r["word"] in r["text"] for r in back.collect())
+
+
+@pytest.mark.parametrize("few", [10_000, 3, 1])
+@pytest.mark.parametrize("share", [0.2, 0.333, 0.0, 1.0])
+def test_exact_split_by_rounds(spark, monkeypatch, few, share):
+    monkeypatch.setattr(D, "FEW_ROWS", few)
+    monkeypatch.setattr(D, "_ROUND_DIGITS", 1)
+    df = spark.range(301).withColumn("test_", F.lit(1))
+    got = D.exact_split(df, "id", share)
+    digests = {r["id"]: r["d"] for r in df.select("id", F.md5(F.col("id").cast("string")).alias("d")).collect()}
+    want = set(sorted(digests, key=digests.get)[:math.ceil(301 * share)])
+    assert {r["id"] for r in got.where("test").collect()} == want and got.count() == 301
+    assert D.exact_split(df.where("false"), "id", share).collect() == []
+
+
+def test_gazetteer_equals_the_list(spark):
+    from feedlens.operators.gazetteer import mark_places
+
+    rng = random.Random(12)
+    letters = "abcቦሌ😀"
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(300)] + [None, ""]
+    places = ["".join(rng.choices(letters, k=rng.randint(1, 5))) for _ in range(40)]
+    rows = spark.createDataFrame([(i, rng.choice(words)) for i in range(2000)], "n int, token string")
+    for listed in (places, ["ቦ"], ["abca", None, "x"], [], ["", "a"]):
+        table = spark.createDataFrame([(p,) for p in listed], "place string")
+        got = sorted(((r["n"], r["is_place"]) for r in mark_places(rows, table).collect()))
+        want = sorted((r["n"], r["token"] is not None and any(p in r["token"] for p in listed if p is not None)) for r in rows.collect())
+        assert got == want
+    # As labels, by list and by table.
+    texts = spark.createDataFrame([(1, "a b\nቦሌ 500 xቦሌy birr\n0911223344"), (2, "ቦሌ")], "id bigint, text string")
+    table = spark.createDataFrame([(p,) for p in rules.LOCATIONS], "place string")
+    by_table = D.labeled_tokens(texts, places=table).collect()
+    assert sorted(map(tuple, by_table)) == sorted(map(tuple, D.labeled_tokens(texts).collect()))
+
+
+def test_a_long_gazetteer(spark):
+    from feedlens.operators.gazetteer import mark_places
+
+    places = spark.range(100_000).select(F.concat(F.lit("place"), F.col("id").cast("string"), F.lit("x")).alias("place"))
+    rows = spark.range(5000).select(F.concat(F.lit("in-place"), (F.col("id") * 40).cast("string"), F.lit("xy")).alias("token"))
+    assert mark_places(rows, places).where("is_place").count() == 2500

@@ -108,3 +108,63 @@ def test_text_functions_stay_in_the_jvm(spark):
     plan = df.select(X.preprocess_message("text"), X.ws_tokens("text"))._jdf.queryExecution().toString()
     assert "Python" not in plan.replace("PythonRDD", "")
     assert "Exchange" not in plan
+
+
+def test_one_pass_equals_the_replacements_one_by_one(spark):
+    import random
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from feedlens import rules
+    from feedlens.functions import text as X
+
+    pairs = rules.labialized_pairs()
+    rng = random.Random(2)
+    letters = sorted({c for k, v in pairs for c in k + v} | set(rules.LABIAL_U_LETTERS) | set("ቡና ዋአ/ab\n"))
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 12))) for _ in range(100_000)] + [k for k, _ in pairs]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = str.maketrans(rules.LABIAL_U_LETTERS)
+    got = [r[0] for r in df.select(X.norm_labialized("t")).collect()]
+    assert got == [reduce(lambda t, p: t.replace(*p), pairs, t).translate(plain) for t in texts]
+
+
+def test_longest_key_first(value):
+    from feedlens.functions import text as X
+
+    table = {"ab": "1", "abc": "2", "b": "3", "(": "4", "a\n": "5"}
+    assert value("abcab bca(\na\nb", lambda c: X.replace_longest(c, table)) == "21 3ca4\n53"
+    assert value("xyz", lambda c: X.replace_longest(c, table)) == "xyz"
+    assert value("xyz", lambda c: X.replace_longest(c, {})) == "xyz"
+    assert value(None, lambda c: X.replace_longest(c, table)) is None
+
+
+def test_preprocessing_without_its_shortcut(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from feedlens import rules
+    from feedlens.functions import text as X
+
+    rng = random.Random(4)
+    parts = [*rules.SHORT_FORMS, "abc", "x9", "ቡና", "ሐመር", "ቡዋ", "😀", "...", "::", "፡፡", "`a", " ", " ", "  ", "\n", "/", "."]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 25))) for _ in range(5000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    whole = F.col("t")
+    for step in (X.remove_emoji, X.norm_labialized, X.norm_short_forms, X.norm_punct, X.norm_chars):
+        whole = step(whole)
+    whole = F.array_join(X.word_tokenize(whole, "ethiopic"), " ")
+    assert df.select(whole.alias("a"), X.preprocess_message("t").alias("b")).where("a <> b").count() == 0
+
+
+def test_gaps_and_tokens_are_the_text(spark):
+    from pyspark.sql import functions as F
+
+    from feedlens.functions import text as X
+
+    texts = ["", " ", "a", " a", "a ", "\u00a0a\n\nb\u2003", "x  y\tz", "xx"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", X.ws_tokens("t").alias("w"), X.ws_gaps("t").alias("g")).collect():
+        assert len(r["g"]) == len(r["w"]) + 1
+        assert "".join(g + w for g, w in zip(r["g"], [*r["w"], ""])) == r["t"]
