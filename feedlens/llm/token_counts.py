@@ -9,17 +9,19 @@ from __future__ import annotations
 
 import heapq
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from feedlens.llm.byte_table import byte_characters
-from feedlens.llm.common import Recent, arrow_map, kept_in_worker, longs, utf8_bytes, vocabulary
+from feedlens.llm.common import Recent, arrow_map, kept_in_worker, longs, parts_of, uncollected, vocabulary
 from feedlens.llm.word_rule import WordRule
 
 VOCABULARY = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
-#: Words, and parts between white space, that a worker remembers at least.
-REMEMBERED = 500_000
+#: Bytes of parts that a worker remembers at least, and half of what it does at most.
+REMEMBERED = 96 << 20
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
 
@@ -123,10 +125,14 @@ def count_tokens(
         counts = part_counts(path).__getitem__
 
         def step(batch: pa.RecordBatch) -> list[pa.Array]:
-            texts = utf8_bytes(batch.column(1))
-            n = [sum(map(counts, t.split())) for t in texts]
-            return [batch.column(0).cast(pa.int64()), longs([len(t) for t in texts]), longs(n),
-                    pa.array([x > limit for x in n], pa.bool_())]
+            n = np.zeros(batch.num_rows, np.int64)
+            for parts in parts_of(batch.column(1)):
+                with uncollected():
+                    found = list(map(counts, parts.names))
+                tokens = np.array(found, np.int64)[parts.code]
+                n += np.diff(np.concatenate([[0], np.cumsum(tokens)])[np.concatenate([[0], parts.ends])])
+            n_bytes = pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64())
+            return [batch.column(0).cast(pa.int64()), n_bytes, longs(n), pa.array(n > limit)]
         return step
 
     return arrow_map(docs.select(id_col, text_col), SCHEMA, start)

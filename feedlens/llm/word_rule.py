@@ -8,6 +8,8 @@ import unicodedata
 
 from tokenizers import Tokenizer
 
+from feedlens.llm.byte_table import byte_characters
+
 #: Below this code point composing changes nothing and the rule needs no more than a list
 #: of the letters, numbers and spaces.
 PLAIN_END = 0x250
@@ -39,12 +41,24 @@ class WordRule:
         for escape, plain in ((r"\p{L}", letters), (r"\p{N}", numbers), (r"\s", spaces)):
             rule = rule.replace(escape, plain)
         self._plain = re.compile(rule).findall
+        self._chars = byte_characters()
         # Some capitals below the border have their small letter above it.
         self._other = re.compile(f"[^{_class(lambda c: max(c.lower()) < chr(PLAIN_END))}]").search
 
+    @staticmethod
+    def is_far(word: str) -> bool:
+        """Whether normalising an already normalised word might change it."""
+        return not word.isascii() and max(word) >= chr(PLAIN_END)
+
+    def symbols(self, word: str) -> str:
+        """A normalised word as the model takes it: one sign for each byte."""
+        return "".join([self._chars[b] for b in word.encode()])
+
     def words(self, part: str) -> list[str]:
         """Normalised words of a part without special strings."""
-        if part.isascii() or not self._other(part):
+        if part.isascii():
+            return [part.lower()] if part.isalpha() else self._plain(part.lower())
+        if not self._other(part):
             return self._plain(part.lower())
         text = self._normalize(part)
         return [text[a:b] for _, (a, b) in self._split(text)]
