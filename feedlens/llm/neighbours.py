@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from feedlens.llm.common import arrow_map, longs
+from feedlens.operators.skew import broadcast_if_small
 from feedlens.session import stored
 
 NEAREST, QUERY_EVERY = 5, 50
 #: The model is fitted on a bounded sample: this many vectors per part, within these bounds.
 SAMPLE_PER_PART, LEAST_SAMPLE, MOST_SAMPLE = 64, 8_000, 32_000
-#: Vectors per part, and the most parts.
-PART_ROWS, MOST_PARTS = 3_000, 512
+#: Vectors per part, the fewest and the most parts, and the fewest sample vectors of a part.
+PART_ROWS, LEAST_PARTS, MOST_PARTS, LEAST_PART_SAMPLE = 3_000, 16, 512, 16
 GRAPH_NEIGHBOURS, HIDDEN, ROUNDS = 10, 64, 300
 #: A part holds at most so many times its even share of the sample.
 SLACK = 1.1
@@ -33,7 +34,14 @@ TARGET = 0.97
 BLOCK_ROWS, BLOCK_QUERIES = 20_000, 4_000
 
 
+def _tame(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that no square leaves the range of doubles. Powers of
+    two change no digit, so cosines stay what they are."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0, keepdims=True))[1])
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = _tame(x)
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
 
@@ -131,7 +139,8 @@ def train_router(x: np.ndarray, part: np.ndarray, parts: int) -> Router:
 def fit_router(vectors: np.ndarray, parts: int) -> Router:
     """Partition, classifier and number of probes from sample vectors."""
     x = _unit(vectors.astype(float))
-    if parts < 2 or len(x) < 4 * parts:
+    parts = min(parts, len(x) // LEAST_PART_SAMPLE)
+    if parts < 2:  # a handful of vectors
         return Router((np.zeros((vectors.shape[1], 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)), 1)
     part = balanced_parts(x, neighbour_graph(x, GRAPH_NEIGHBOURS), parts)
     router = train_router(x, part, int(part.max()) + 1)
@@ -183,6 +192,7 @@ def exact_nearest(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, quer
     A matrix product finds what may be among them, up to its rounding; those are measured
     one by one, so equal vectors have equal cosines.
     """
+    rows, queries = _tame(rows), _tame(queries)
     norms, query_norms = np.sqrt((rows * rows).sum(axis=1)), np.sqrt((queries * queries).sum(axis=1))
     found = []
     for at in range(0, len(queries), 256):
@@ -209,8 +219,8 @@ def ranked(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     def blocks_of(side: DataFrame, size: int, name: str) -> DataFrame:
         return side.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
 
-    # At most MOST_PARTS rows.
-    blocks = F.broadcast(blocks_of(rows, BLOCK_ROWS, "rb").join(blocks_of(queries, BLOCK_QUERIES, "qb"), "part"))
+    # One row for each part and each rarer length.
+    blocks, _ = broadcast_if_small(stored(blocks_of(rows, BLOCK_ROWS, "rb").join(blocks_of(queries, BLOCK_QUERIES, "qb"), "part"), "neighbour-blocks"))
     own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = rows.join(blocks, "part").select("part", own("rb").alias("r"), each("qb").alias("q"), "id", "vector")
@@ -236,34 +246,53 @@ def search(
     divisible by ``query_every``, among all other rows, by cosine.
 
     Rows without an id and vectors that are null, zero, or hold null or non-finite numbers
-    take no part, nor do vectors whose length is not the most frequent one. Of rows of one id
+    take no part. Vectors of different lengths have no cosine: the model is of the most
+    frequent length, vectors of others are compared with all of their own. Of rows of one id
     only one counts, that of the smallest vector. A query for which the probed parts hold
     fewer than ``k`` is put to all parts. Fits its model while it is called; the sample on
     the driver has at most ``MOST_SAMPLE`` vectors.
     """
     rows = (vectors.where(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
             .select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("vector")))
+    rows = rows.groupBy("id").agg(F.min("vector").alias("vector"))
+    rows = stored(rows, "neighbour-rows")
     sizes = (rows.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n"))
              .orderBy(F.desc("n"), "d").limit(1).collect())
     if not sizes:
         return vectors.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     dim, n = sizes[0]
-    rows = rows.where(F.size("vector") == dim).groupBy("id").agg(F.min("vector").alias("vector"))
-    parts = int(min(MOST_PARTS, max(1, n // PART_ROWS)))
-    wanted = min(MOST_SAMPLE, max(LEAST_SAMPLE, SAMPLE_PER_PART * parts))
-    mark = F.xxhash64("id", F.lit(23))
-    share = F.pmod(mark, F.lit(1 << 30)) < F.lit(int(min(1.0, 2.0 * wanted / n) * (1 << 30)) + 1)
-    sample = [r["vector"] for r in rows.where(share).orderBy(mark, "id").limit(wanted).collect()]
-    router = fit_router(np.array(sample), parts)
-
-    indexed = stored(routed(rows, router, 1), "neighbour-index")
-    queries = indexed.where(F.col("id") % query_every == 0).select("id", "vector")
-    found = stored(ranked(indexed, routed(queries, router, router.probes), k), "neighbour-found")
+    common, rare = rows.where(F.size("vector") == dim), rows.where(F.size("vector") != dim)
+    rare = rare.withColumn("part", -F.size("vector"))
+    parts = int(min(MOST_PARTS, max(LEAST_PARTS, n // PART_ROWS)))
+    router = fit_router(_sampled(common, min(MOST_SAMPLE, max(LEAST_SAMPLE, SAMPLE_PER_PART * parts)), n, dim), parts)
+
+    indexed = stored(routed(common, router, 1).unionByName(rare), "neighbour-index")
+    asked = F.col("id") % query_every == 0
+    queries = indexed.where(asked & (F.col("part") >= 0)).select("id", "vector")
+    probed = routed(queries, router, router.probes).unionByName(rare.where(asked))
+    found = stored(ranked(indexed, probed, k), "neighbour-found")
     enough = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= k)
     short = queries.join(enough, queries["id"] == enough["query_id"], "left_anti")
     if router.probes < router.parts and not short.isEmpty():
         more = ranked(indexed, routed(short, router, router.parts), k)
-        found = found.join(enough, "query_id", "left_semi").unionByName(more)
+        found = found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(more)
     first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
+
+
+def _sampled(rows: DataFrame, wanted: int, n: int, dim: int) -> np.ndarray:
+    """About ``wanted`` of ``n`` vectors by a hash of the id, as bytes on their way to the driver."""
+    mark = F.xxhash64("id", F.lit(23))
+    share = F.pmod(mark, F.lit(1 << 30)) < F.lit(int(min(1.0, 2.0 * wanted / n) * (1 << 30)) + 1)
+
+    def start():
+        def step(batch: pa.RecordBatch) -> list[pa.Array]:
+            # Half the bytes are enough to fit a model; tamed numbers fit in them.
+            values = _tame(_matrix(batch.column(1), batch.num_rows)).astype(np.float32) if batch.num_rows else []
+            return [batch.column(0), pa.array([v.tobytes() for v in values], pa.binary())]
+        return step
+
+    some = rows.where(share).orderBy(mark, "id").limit(wanted).select("id", "vector")
+    packed = arrow_map(some, "id bigint, bytes binary", start).orderBy("id").collect()
+    return np.frombuffer(b"".join(r["bytes"] for r in packed), np.float32).reshape(-1, dim)
