@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedlens.llm.common import Memo, arrow_map, free_name, kept_in_worker, utf8_bytes, vocabulary
+from feedlens.operators.skew import broadcast_if_small
 from feedlens.session import stored
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -29,11 +30,11 @@ FENCE = 3.0
 LEAST_RANGE = (0.05, 0.01, 0.1)
 #: A language's length class, then its script's, needs so many documents for fences.
 MIN_DOCUMENTS = 50
-#: Languages with less than this share of the documents are judged by script, so that there
-#: are at most so many languages with fences of their own, however many there are.
-MIN_LANGUAGE_SHARE = 1 / 1000
-#: Words that a worker remembers at least.
-REMEMBERED = 500_000
+#: Decimal places to which measures are rounded for quartiles: a group has few different values
+#: then, so that exact quartiles need little memory and do not depend on partitions.
+PLACES = 3
+#: Bytes of parts that a worker remembers at least, and half of what it does at most.
+REMEMBERED = 96 << 20
 
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -163,7 +164,7 @@ def fences(measured: DataFrame, *group: str) -> DataFrame:
     """(group, low and high of each measure) of groups with enough documents. Without the
     length class in the group the entropy, which depends on the length, has no limits."""
     quartiles = [
-        F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), 1000).alias(f"q_{m}") for m in MEASURES
+        F.percentile(F.round(m, PLACES), F.array(F.lit(0.25), F.lit(0.75))).alias(f"q_{m}") for m in MEASURES
     ]
     found = (measured.where(~F.col("base_failed") & F.col(group[0]).isNotNull())
              .groupBy(*group).agg(F.count(F.lit(1)).alias("n"), *quartiles)
@@ -183,21 +184,18 @@ def judge(measured: DataFrame, lang_col: str | None = None) -> DataFrame:
 
     ``lang_col`` names the language; without one, or where it is null or rare, the script
     stands in. Where a length class has too few documents the fences over all lengths do;
-    without any the base rules alone decide. The fences are few: languages by their least
-    share, scripts by the list above, classes by the length.
+    without any the base rules alone decide. A verdict depends on the documents of its own
+    language and script only, whatever else is in the table. Fences are stored, and broadcast
+    if their measured size is small.
     """
     lang = F.col(lang_col) if lang_col else F.lit(None).cast("string")
     rows = measured.select(
         "*", base_failed().alias("base_failed"), length_class().alias("length_class"), lang.alias("language"))
-    total = measured.agg(F.count(F.lit(1)).alias("total")).scalar()
-    common = (rows.groupBy("language").agg(F.count(F.lit(1)).alias("n"))
-              .where(F.col("n") >= total * MIN_LANGUAGE_SHARE).select("language"))
-    common = rows.join(F.broadcast(common), "language")
-    groups = [(common, "language", "length_class"), (rows, "script", "length_class"), (common, "language"),
-              (rows, "script")]
-    for source, *group in groups:
-        rows = rows.join(F.broadcast(fences(source, *group)), group, "left")
-    limits = F.coalesce(*["by_" + "_".join(group) for _, *group in groups])
+    groups = [("language", "length_class"), ("script", "length_class"), ("language",), ("script",)]
+    for group in groups:
+        found, _ = broadcast_if_small(stored(fences(rows.select(*group, "base_failed", *MEASURES), *group), "fences"))
+        rows = rows.join(found, list(group), "left")
+    limits = F.coalesce(*["by_" + "_".join(group) for group in groups])
     outside = F.lit(False)
     for m in MEASURES:
         high = F.col(m) > limits[m]["high"]

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from feedlens.llm.common import arrow_map, bounded, slices
+from feedlens.operators.skew import broadcast_if_small
 from feedlens.session import stored
 
 MAX_N = 3
@@ -29,6 +30,9 @@ BUCKETS = 1 << 16
 SAMPLE_PER_LANGUAGE, LANDMARKS, LANDMARKS_PER_LANGUAGE = 300, 256, 4
 #: Sample rows compared with as many landmarks at a time.
 BLOCK = 64
+#: Each language costs 32 KB of landmarks and 256 KB of weights wherever the model is. A label
+#: column of more values than this is an error, not a smaller model.
+MOST_LANGUAGES = 2000
 RIDGE = 0.1
 UNDETERMINED = "und"
 #: Documents scored by one product; bounds the size of the presence matrix.
@@ -134,15 +138,18 @@ def sample(docs: DataFrame, id_col: str, lang_col: str, per_language: int) -> Da
     id and the text, so that neither order nor partitions of the input matter.
 
     Language counts thin the rows out before any of them moves: a window sees about twice
-    what it keeps of each language.
+    what it keeps of each language. The row of the least hash always stays, so a language is
+    never lost, also if all its rows are equal.
     """
-    counts = docs.groupBy(lang_col).agg(F.count(F.lit(1)).alias("_n"))
     draw = F.pmod(F.xxhash64(F.col(id_col).cast("string"), "text_", F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
-    drawn = (docs.withColumn("_draw", draw).join(F.broadcast(counts), lang_col)
-             .where(F.col("_draw") * F.col("_n") < 2.0 * per_language + 40))
+    marked = docs.withColumn("_draw", draw)
+    counts = marked.groupBy(lang_col).agg(F.count(F.lit(1)).alias("_n"), F.min("_draw").alias("_least"))
+    counts, _ = broadcast_if_small(stored(counts, "language-counts"))
+    drawn = marked.join(counts, lang_col).where(
+        (F.col("_draw") * F.col("_n") < 2.0 * per_language + 40) | (F.col("_draw") == F.col("_least")))
     first = Window.partitionBy(lang_col).orderBy("_draw", id_col)
     return (drawn.withColumn("rank", F.row_number().over(first))
-            .where(F.col("rank") <= per_language).drop("_draw", "_n"))
+            .where(F.col("rank") <= per_language).drop("_draw", "_n", "_least"))
 
 
 def fit(
@@ -167,6 +174,8 @@ def fit(
 
     found = stored(arrow_map(drawn, "id_ bigint, lang_ string, rank int, bits binary", start), "language-sample")
     languages = sorted(r["lang_"] for r in found.select("lang_").distinct().collect())
+    if len(languages) > MOST_LANGUAGES:
+        raise ValueError(f"{len(languages)} different labels are more than {MOST_LANGUAGES} languages")
     if not languages:
         return LanguageModel([UNDETERMINED], np.zeros((BUCKETS, 1), np.float32))
     each = max(LANDMARKS_PER_LANGUAGE, -(-LANDMARKS // len(languages)))
