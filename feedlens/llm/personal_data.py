@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from feedlens.llm.common import arrow_map, longs
+from feedlens.llm.common import arrow_map, kept_in_worker, longs
 from feedlens.llm.pii_examples import EXAMPLES
 
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -289,10 +289,9 @@ def train(rows: list[tuple[Tokens, np.ndarray]], rounds: int = 120, penalty: flo
     return Tagger(model.shapes, cues, weights[0][:none], weights[1] + fixed)
 
 
-@functools.lru_cache(1)
 def default_tagger() -> Tagger:
-    """Trained once in each worker process, always alike: 55 lines, about a second."""
-    return train(labelled())
+    """Trained once in each worker process, always alike: 58 lines, about a second."""
+    return kept_in_worker("tagger", lambda: train(labelled()))
 
 
 # ---- Spans of whole texts ----------------------------------------------------------

@@ -32,13 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlens.llm.common import arrow_map, bounded, free_name, longs, slices, utf8_bytes
+from feedlens.llm.common import arrow_map, bounded, free_name, kept_in_worker, longs, slices, utf8_bytes
 from feedlens.llm.induced_sort import common_prefix_at_least, suffix_array
 from feedlens.session import stored
 
 LENGTH, GRAM = 50, 24
 #: Bytes beside an anchor that its windows can cover on either side, and places in a window.
 SIDE, PLACES = LENGTH - GRAM, LENGTH - GRAM + 1
+#: Windows of a text that are looked at together; at most 2^24.
+WINDOWS = 1 << 18
 #: Anchors that a task holds before it sends them.
 HELD = 1 << 18
 #: Bytes of text per part, and edges per shard: what one task gets does not grow.
@@ -77,29 +79,38 @@ def gram_hashes(codes: np.ndarray, size: int) -> np.ndarray:
 
 
 def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(places, gram hashes, context hashes) of the anchors of all 50-byte windows of a text."""
-    if len(text) < LENGTH:
-        none = np.zeros(0, np.uint64)
-        return np.zeros(0, np.int64), none, none
-    codes = np.frombuffer(text, np.uint8).astype(np.int64)
-    hashes = gram_hashes(codes, GRAM)
-    # The smallest hash of a window, and of equal ones the first, by place in the low bits.
-    chunk = 1 << 23
-    found = []
-    for at in range(0, len(hashes) - PLACES + 1, chunk):
-        part = hashes[at:at + chunk + PLACES - 1]
-        least = (part & _U(0xFFFFFFFFFF000000)) | np.arange(len(part), dtype=np.uint64)
-        n, reach = len(part) - PLACES + 1, 1
+    """(places, gram hashes, context hashes) of the anchors of all 50-byte windows of a text.
+
+    Some windows at a time, so that a long text needs little more than its anchors.
+    """
+    places, grams, contexts = ([np.zeros(0, t)] for t in (np.int64, np.uint64, np.uint64))
+    last = -1
+    for at in range(0, len(text) - LENGTH + 1, WINDOWS):
+        n = min(WINDOWS, len(text) - LENGTH + 1 - at)
+        codes = np.frombuffer(text, np.uint8, n + LENGTH - 1, at).astype(np.int64)
+        hashes = gram_hashes(codes, GRAM)
+        # The smallest hash of a window, and of equal ones the first, by place in the low bits.
+        least = (hashes & _U(0xFFFFFFFFFF000000)) | np.arange(len(hashes), dtype=np.uint64)
+        reach = 1
         while reach * 2 <= PLACES:
             least = np.minimum(least[:-reach], least[reach:])
             reach *= 2
         least = np.minimum(least[:n], least[PLACES - reach:PLACES - reach + n])
-        found.append((least & _U(0xFFFFFF)).astype(np.int64) + at)
-    places = np.concatenate(found)
-    places = places[np.r_[True, places[1:] != places[:-1]]]
-    outside = np.full(SIDE, 256)
-    contexts = gram_hashes(np.concatenate([outside, codes, outside]), GRAM + 2 * SIDE)
-    return places, hashes[places], contexts[places]
+        found = (least & _U(0xFFFFFF)).astype(np.int64)
+        found = found[np.r_[True, found[1:] != found[:-1]]]
+        if len(found) and found[0] + at == last:
+            found = found[1:]
+        if not len(found):
+            continue
+        # The bytes beside the anchors; nothing stands outside the text.
+        before, behind = min(SIDE, at), min(SIDE, len(text) - at - len(codes))
+        near = np.frombuffer(text, np.uint8, before + len(codes) + behind, at - before).astype(np.int64)
+        near = np.concatenate([np.full(SIDE - before, 256), near, np.full(SIDE - behind, 256)])
+        places.append(found + at)
+        grams.append(hashes[found])
+        contexts.append(gram_hashes(near, GRAM + 2 * SIDE)[found])
+        last = int(found[-1]) + at
+    return np.concatenate(places), np.concatenate(grams), np.concatenate(contexts)
 
 
 # ---- Blocks of anchors ---------------------------------------------------------------
@@ -150,14 +161,13 @@ def sent_blocks(docs: DataFrame, parts: int, hot: np.ndarray = np.zeros(0, np.ui
     ``hot`` grams. Blocks of negative parts hold (document, place) of settled anchors.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_in_worker("suffixes")
         held: list[tuple] = []
         n_held = n_sent = 0
         task = TaskContext.get().partitionId()
 
         def send() -> pa.RecordBatch:
             grams, contexts, docs, places = (np.concatenate(c) for c in zip(*held))
-            # 48 bits tell contexts of one gram apart.
-            contexts = contexts >> _U(16)
             order = np.lexsort((docs.view(np.int64), contexts, grams))
             columns = [c[order] for c in (grams, contexts, docs, places)]
             grams, contexts, docs, places = columns
@@ -205,6 +215,7 @@ COVERED, EDGE, HOT = 0, 1, 2
 
 def met(table: pa.Table) -> pa.Table:
     """(doc, place, kind, gram) of the anchors of one part that matter."""
+    kept_in_worker("suffixes")
     part = table.column("part")[0].as_py()
     if part < 0:
         docs, places = (np.concatenate(c).view(np.int64) for c in zip(
@@ -451,3 +462,30 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return step
 
     return arrow_map(rows, schema, start)
+
+
+REMOVAL_SQL = r"""
+with given as (select doc_id, encode(coalesce(text, '')) as bytes, row_number() over () as r from documents),
+texts as (select r, doc_id, bytes, hex(bytes) as h, octet_length(bytes) as n from given),
+blocks as (
+  select r, doc_id, n, base, substr(h, 2 * base + 1, 298) as part
+  from (select *, unnest(range(0, n - 49, 100)) as base from texts where n >= 50 and doc_id is not null)),
+windows as materialized (
+  select r, doc_id, base + o as i, substr(part, 2 * o + 1, 100) as w
+  from (select *, unnest(range(0, least(100, n - 49 - base))) as o from blocks)),
+firsts as (select w, min(doc_id) as first from windows group by w having min(doc_id) < max(doc_id)),
+gone as (
+  select r, i, case when i <= lag(i) over (partition by r order by i) + 50 then 0 else 1 end as opens
+  from windows join firsts using (w) where first < doc_id),
+numbered as (select r, i, sum(opens) over (partition by r order by i) as run from gone),
+runs as (select r, run, min(i) as a, max(i) + 50 as b from numbered group by r, run),
+pieces as (
+  select r, a, b, substr(h, 2 * coalesce(lag(b) over (partition by r order by a), 0) + 1,
+                         2 * (a - coalesce(lag(b) over (partition by r order by a), 0))) as piece
+  from runs join texts using (r)),
+heads as (
+  select r, sum(b - a) as n_removed, count(*) as n_spans, string_agg(piece, '' order by a) as head, max(b) as last
+  from pieces group by r)
+select doc_id, n::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from texts left join heads using (r)"""
