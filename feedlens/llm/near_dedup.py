@@ -33,8 +33,8 @@ COORDINATES = BANDS * BAND_ROWS
 #: Darts expected over an area of one: enough to reach nearly every coordinate.
 DARTS = int(COORDINATES * np.log(COORDINATES) + 2 * COORDINATES)
 
-#: Words that a worker remembers at least.
-REMEMBERED = 500_000
+#: Bytes of parts that a worker remembers at least, and half of what it does at most.
+REMEMBERED = 96 << 20
 #: Signatures made at a time.
 TOGETHER = 8
 #: Members of a group that one unit of work compares with each other, and elements at a time.
@@ -351,3 +351,26 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         once = left.where(F.col(name).isNotNull()).dropDuplicates([name])
         left = once.unionByName(left.where(F.col(name).isNull()))
     return left.select(*[f"`{c}`" for c in docs.columns])
+
+
+NEAR_DEDUP_SQL = r"""
+with recursive texts as (
+  select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') as w from documents),
+worded as (select doc_id, w, min(doc_id) over (partition by w) as node from texts where len(w) > 0 and doc_id is not null),
+elements as (
+  select node, element, count(*) as n from (
+    select node, unnest(case when len(w) < 5 then [array_to_string(w, ' ')]
+      else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as element
+    from worded where doc_id = node) group by all),
+totals as (select node, sum(n) as total from elements group by node),
+links as (
+  select a.node as a, b.node as b from elements a join elements b on a.element = b.element and a.node < b.node
+  join totals x on x.node = a.node join totals y on y.node = b.node
+  group by a.node, b.node, x.total, y.total
+  having 10 * sum(least(a.n, b.n)) >= 8 * (x.total + y.total - sum(least(a.n, b.n)))),
+ways as (select a, b from links union all select b, a from links),
+reach as (select distinct a, a as b from ways union select reach.a, ways.b from reach join ways on reach.b = ways.a),
+least as (select a as node, min(b) as label from reach group by a),
+named as (select doc_id, coalesce(label, node) as class_id from worded left join least using (node))
+select doc_id, coalesce(class_id, doc_id) as class_id, coalesce(doc_id = class_id, true) as kept
+from texts left join named using (doc_id)"""

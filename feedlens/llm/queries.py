@@ -59,6 +59,9 @@ def op7_suffix_dedup(spark, sf_dir):
     return suffix_dedup.removal_digests(documents(spark, sf_dir))
 
 
+ORACLES["op7_suffix_dedup"] = suffix_dedup.REMOVAL_SQL
+
+
 @query
 def op8_neighbours(spark, sf_dir):
     return neighbours.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -69,6 +72,9 @@ def op9_near_dedup(spark, sf_dir):
     return near_dedup.classes(documents(spark, sf_dir))
 
 
+ORACLES["op9_near_dedup"] = near_dedup.NEAR_DEDUP_SQL
+
+
 @query
 def op10_byte_bpe(spark, sf_dir):
     return byte_bpe.encode_digests(documents(spark, sf_dir))
