@@ -86,7 +86,7 @@ TOKENS = POSTS + f""", parts as (
 flat as (
   select sid, unnest(list_concat(f, r)) as token,
          unnest(range(len(f) + len(r))) as pos, len(f) as nfirst from parts),
-tokens as (
+tokens as materialized (
   select sid, cast(pos as integer) as pos, token,
          lag(token, 1, '') over (partition by sid order by pos) as previous,
          case when pos < nfirst then case when pos = 0 then 'B-PRODUCT' else 'I-PRODUCT' end
@@ -123,46 +123,39 @@ FEATURE_KEYS = {
 }
 
 
+TAG_LIST = "[" + ", ".join(quoted(t) for t in rules.TAGS) + "]"
+
+
 def model(features: list[str], name: str = "model") -> str:
-    """Smoothed P(label | key) of each feature, from the training part."""
+    """Smoothed P(label | key) of each feature as lists in label order, from the training part."""
     keyed = " union all ".join(
         f"select '{f}' as feature, {FEATURE_KEYS[f]} as key, label from tokens where not test"
         for f in [*features, "prior"]
     )
-    return f"""{name}_k as ({keyed}),
-{name}_n as (select feature, key, label, count(*) as n from {name}_k group by all),
-{name}_t as (select feature, key, count(*) as total from {name}_k group by all),
-{name} as (
-  select t.feature, t.key, l.label, l.lid, t.total, coalesce(n.n, 0) as n,
-         (coalesce(n.n, 0) + 1) / (t.total + {len(rules.TAGS)}) as score
-  from {name}_t t cross join labels l
-  left join {name}_n n on n.feature = t.feature and n.key = t.key and n.label = l.label)"""
+    counts = ", ".join(f"count(*) filter (where label = {quoted(t)})" for t in rules.TAGS)
+    return f"""{name}_n as materialized (
+  select feature, key, count(*) as total, [{counts}] as counts from ({keyed}) group by feature, key),
+{name} as materialized (
+  select *, list_transform(counts, lambda n: (n + 1) / (total + {len(rules.TAGS)})) as scores from {name}_n)"""
 
 
 def tagging(features: list[str], name: str = "model", out: str = "tagged") -> str:
     """Test tokens with prediction, score and the probability of the true label."""
     joins = " ".join(
-        f"left join {name}_t k{i} on k{i}.feature = '{f}' and k{i}.key = {FEATURE_KEYS[f]}"
+        f"left join (select key, scores from {name} where feature = '{f}') k{i} on k{i}.key = {FEATURE_KEYS[f]}"
         for i, f in enumerate(features)
     )
-    feature = "case " + " ".join(
-        f"when k{i}.key is not null then '{f}'" for i, f in enumerate(features)
-    ) + " else 'prior' end"
-    key = "coalesce(" + ", ".join(f"k{i}.key" for i in range(len(features))) + ", '')"
-    return f"""{name}_best as (
-  select feature, key, label as prediction, score from {name}
-  qualify row_number() over (partition by feature, key order by score desc, lid) = 1),
-{out}_f as (
-  select x.*, {feature} as feature, {key} as key from tokens x {joins} where x.test),
-{out} as (
-  select x.sid, x.pos, x.token, x.label, b.prediction, b.score, m.score as p_true
-  from {out}_f x
-  join {name}_best b on b.feature = x.feature and b.key = x.key
-  join {name} m on m.feature = x.feature and m.key = x.key and m.label = x.label)"""
+    found = ", ".join(f"k{i}.scores" for i in range(len(features)))
+    return f"""{out}_s as (
+  select x.*, coalesce({found}, (select scores from {name} where feature = 'prior')) as scores
+  from (select * from tokens where test) x {joins}),
+{out} as materialized (
+  select * exclude (scores), {TAG_LIST}[list_position(scores, list_max(scores))] as prediction,
+         list_max(scores) as score, scores[list_position({TAG_LIST}, label)] as p_true from {out}_s)"""
 
 
 SUFFIXED = ["token", "suffix"]
-TAGGED = f"{TOKENS}, {LABELS}, {model(SUFFIXED)}, {tagging(SUFFIXED)}"
+TAGGED = f"{TOKENS}, {model(SUFFIXED)}, {tagging(SUFFIXED)}"
 TAGGED_SPANS = f"{TAGGED}, {spans_of('tagged', 'label', 'truth')}, {spans_of('tagged', 'prediction', 'guess')}"
 HITS = """hits as (
   select * from truth join guess using (sid, type, "start", "end"))"""
@@ -210,7 +203,7 @@ result{n} as (
 
 
 COMPARED = ", ".join([
-    TOKENS, LABELS,
+    TOKENS,
     evaluation("token", ["token"], 0),
     evaluation("token+suffix", ["token", "suffix"], 1),
     evaluation("prev+token", ["prev_token", "token"], 2),
@@ -413,11 +406,11 @@ ORACLES: dict[str, str] = {
           {joined(f"list_concat(l, list_transform(range({rules.MAX_PIECES} - len(l)), lambda x: -100))")} as label_ids
         from cut""",
     # F
-    "train_tagger": f"""with {TOKENS}, {LABELS}, {model(SUFFIXED)}
-        select feature, key, total, label, n, score from model""",
-    "argmax_labels": f"""with {TOKENS}, {LABELS}, {model(['token'])}
-        select feature, key, label from model
-        qualify row_number() over (partition by feature, key order by score desc, lid) = 1""",
+    "train_tagger": f"""with {TOKENS}, {model(SUFFIXED)}
+        select feature, key, total, unnest({TAG_LIST}) as label, unnest(counts) as n, unnest(scores) as score
+        from model""",
+    "argmax_labels": f"""with {TOKENS}, {model(['token'])}
+        select feature, key, {TAG_LIST}[list_position(scores, list_max(scores))] as label from model""",
     "mask_pairs": f"""with {TOKENS}, {LABELS}, rows as (
           select sid, string_agg(case when pos = 0 then '0:' else '4:' end || cast(lid as varchar), ' ' order by pos) as pairs
           from tokens join labels using (label) group by sid)

@@ -32,7 +32,6 @@ SPAN_CLOSE = "</span>"
 LOW_CONFIDENCE = 0.7
 IGNORED_LABEL = -100
 MAX_PIECES = 128
-BACKFILL_LIMIT = 1000
 LABELLED_MESSAGES = 50
 PREVIEW_ROWS = 5
 HIGHLIGHTED_TEXTS = 3
