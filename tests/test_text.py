@@ -158,6 +158,14 @@ def test_preprocessing_without_its_shortcut(spark):
     assert df.select(whole.alias("a"), X.preprocess_message("t").alias("b")).where("a <> b").count() == 0
 
 
+def test_preprocessing_a_long_run_of_plain_words(spark):
+    from pyspark.sql import functions as F
+
+    run = F.repeat(F.concat(F.lit("word"), F.col("id"), F.lit(" ")), 50_000)
+    df = spark.range(1).select(F.concat(F.lit("ቡና "), run, F.lit("ዶ/ር ማሽን")).alias("t"))
+    assert df.select(X.preprocess_message("t")).first()[0] == "ቡና ዶክተር ማሽን"
+
+
 def test_gaps_and_tokens_are_the_text(spark):
     from pyspark.sql import functions as F
 
