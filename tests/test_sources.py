@@ -187,3 +187,20 @@ def test_files_that_break_the_rules_are_refused(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     (tmp_path / "empty" / "x.csv").write_text("\ufeff" + head + "\n\n")
     assert tables.read_messages(spark, str(tmp_path / "empty")).collect() == []
+
+
+def test_lines_of_two_fields_by_range():
+    import pyarrow as pa
+
+    from feedlens.sources import conll
+
+    lines = [("a", 0, "x\tO"), ("a", 0, " y  B \r"), ("a", 0, "\u3000"), ("a", 0, "one"), ("a", 0, ""), ("a", 0, "z\tO\r\rw O"),
+             ("a", 9, "v\tO"), ("a", 9, ""), ("b", 0, "u\tO"), ("b", 0, "")]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(["file", "start", "value"], r)) for r in lines[i:i + 3]])
+               for i in range(0, len(lines), 3)]
+    found = [tuple(r.values()) for b in conll._blocks(iter(batches)) for r in b.to_pylist()]
+    assert found == [
+        ("a", 0, 0, "whole", "x\tO\ny\tB"), ("a", 0, 1, "whole", "z\tO"), ("a", 0, 2, "open", "w\tO"),
+        ("a", 9, 0, "more", "v\tO"), ("a", 9, 0, "closed", ""),
+        ("b", 0, 0, "whole", "u\tO"), ("b", 0, 1, "closed", ""),
+    ]
