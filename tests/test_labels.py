@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from feedlens.functions import labels as L
 from feedlens.operators import dataset as D
@@ -108,3 +109,18 @@ def test_labelling_plan(spark, tmp_path):
     assert written.count() == 2
     assert {r["label"]: r["tokens"] for r in counts.collect()} == {
         label: sum(t["label"] == label for t in tokens) for label in {t["label"] for t in tokens}}
+
+
+def test_one_look_spares_no_label(spark):
+    import random
+
+    rng = random.Random(5)
+    signs = ["ETB", "birr", "$", "ቦሌ", "4ኪሎ", "a", "b", "E", "1", "0911223344", "12.50", "\u0661", "\U0001d7d9", "\xe9", "ቡ", "x.", "-"]
+    tokens = ["".join(rng.choices(signs, k=rng.randint(0, 4))) for _ in range(3000)] + [None, "1", "\u0661" * 10]
+    df = spark.createDataFrame([(t,) for t in tokens], "t string")
+    for marks, places in ((None, None), ([], []), ([""], []), (["x"], ["\xe9", "b"])):
+        plain = (F.when(L.is_phone("t"), "I-PHONE").when(L.is_price("t", marks), "I-PRICE")
+                 .when(L.is_location("t", places), "I-LOC").otherwise("O"))
+        assert df.where(plain != L.rest_label("t", marks, places)).count() == 0
+        look = F.col("t").rlike(L._any_of([*(marks or []), *(places or [])]))
+        assert df.where(~look & (L.is_phone("t") | L.is_price("t", marks or []) | L.is_location("t", places or []))).count() == 0
