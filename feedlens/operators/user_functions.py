@@ -5,18 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from feedlens.functions.text import _col
 
 
+#: Texts that are Python objects at a time.
+TEXTS_HELD = 256
+
+
 def apply_text_fn(c: Column | str, fn: Callable[[str], object], returns: str = "string") -> Column:
-    """A Python function of one text over a column, in Arrow batches; NULL stays NULL."""
-    @F.pandas_udf(returns)
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(fn, na_action="ignore")
+    """A Python function of one text over a column, in Arrow batches; NULL stays NULL.
+
+    Only a few texts of a batch are Python objects at a time: as objects they take up to four
+    bytes a character, the results as much again."""
+    kind, few = to_arrow_type(T._parse_datatype_string(returns) if isinstance(returns, str) else returns), TEXTS_HELD
+
+    @F.arrow_udf(returns)
+    def run(texts: pa.Array) -> pa.Array:
+        parts = [pa.array([], kind)]
+        for at in range(0, len(texts), few):
+            done = texts.slice(at, few).to_pandas().map(fn, na_action="ignore")
+            parts.append(pa.Array.from_pandas(done, type=kind))
+        return pa.concat_arrays(parts)
 
     return run(_col(c))
 

@@ -182,3 +182,15 @@ def test_labelling_run(spark, tmp_path):
     df = spark.createDataFrame([(1, "ቡና 500 ሻይ"), (2, None), (3, "abc"), (4, "ቡና\nቦሌ")], "id bigint, message string")
     counts = {r["label"]: r["tokens"] for r in run_labelling(df, str(tmp_path / "out")).collect()}
     assert counts == {"B-PRODUCT": 2, "I-PRODUCT": 2}
+
+
+def test_text_function_holds_few_texts(spark, monkeypatch):
+    from feedlens.operators import user_functions as K
+
+    monkeypatch.setattr(K, "TEXTS_HELD", 7)
+    df = spark.range(100).selectExpr("id", "if(id % 5 = 0, null, concat('t', id)) as t").coalesce(1)
+    rows = df.select("id", K.apply_text_fn("t", lambda t: t + "!").alias("x"),
+                     K.apply_text_fn("t", len, "bigint").alias("n")).collect()
+    assert all(r["x"] == (None if r["id"] % 5 == 0 else f"t{r['id']}!") for r in rows)
+    assert all(r["n"] == (None if r["id"] % 5 == 0 else len(f"t{r['id']}")) for r in rows)
+    assert df.where("id < 0").select(K.apply_text_fn("t", len, "bigint")).count() == 0
