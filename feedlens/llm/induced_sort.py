@@ -37,7 +37,7 @@ def _induce(s: np.ndarray, small: np.ndarray, sorted_lms: np.ndarray, sigma: int
     def put(found: np.ndarray, fill: np.ndarray, forward: bool) -> None:
         """The places before ``found`` into their buckets, in the order of ``found``."""
         chars = s[found]
-        order = np.argsort(chars, kind="stable")
+        order = np.argsort(chars.astype(np.uint16), kind="stable")
         found, chars = found[order], chars[order]
         first = np.flatnonzero(np.r_[True, chars[1:] != chars[:-1]])
         size = np.diff(np.r_[first, len(chars)])
@@ -90,15 +90,15 @@ def _sorted_lms(s: np.ndarray, small: np.ndarray, lms: np.ndarray, depth: int) -
     padded = np.concatenate([s * 2 + small + 1, np.zeros(8, np.int64)])
     ranks = np.zeros(len(lms), np.int64)
     covered = 0
-    while covered < size.max():  # four signs at a time; shorter substrings end in zeros
+    while covered < size.max():  # six signs at a time; shorter substrings end in zeros
         key = np.zeros(len(lms), np.int64)
-        for j in range(covered, covered + 4):
+        for j in range(covered, covered + 6):
             key = key * 1024 + np.where(j < size, padded[np.minimum(lms + j, len(s))], 0)
         pair = np.unique(key, return_inverse=True)[1]
-        ranks = np.unique(ranks * (len(lms) + 1) + pair, return_inverse=True)[1]
-        covered += 4
+        ranks = np.unique(ranks * (len(lms) + 1) + pair, return_inverse=True)[1] if covered else pair
+        covered += 6
     step, reach = 1, 1
-    while ranks.max() + 1 < len(lms) and reach <= depth:
+    while ranks.max() + 1 < len(lms) and 2 * reach <= depth:  # a name stands for two signs at least
         ahead = np.concatenate([ranks[step:] + 1, np.zeros(min(step, len(ranks)), np.int64)])
         ranks = np.unique(ranks * (len(lms) + 2) + ahead, return_inverse=True)[1]
         step, reach = step * 2, reach * 2
@@ -121,12 +121,16 @@ def suffix_array(s: np.ndarray, sigma: int, depth: int | None = None) -> np.ndar
 
 
 def common_prefix_at_least(s: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
-    """Whether the suffixes at ``a`` and ``b`` (both with ``length`` signs) agree so far."""
+    """Whether the suffixes at ``a`` and ``b`` (both with ``length`` signs, below 512) agree so far."""
+    signs, many = s.astype(np.int64), 1
+    while many < min(7, length):  # more of them in one number
+        signs = signs[:-1] << 9 | s[many:]
+        many += 1
     alive = np.arange(len(a))
-    for j in range(0, length):
+    for j in [*range(0, length - many, many), length - many]:
         if not len(alive):
             break
-        alive = alive[s[a[alive] + j] == s[b[alive] + j]]
+        alive = alive[signs[a[alive] + j] == signs[b[alive] + j]]
     out = np.zeros(len(a), bool)
     out[alive] = True
     return out

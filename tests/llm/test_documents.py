@@ -448,6 +448,48 @@ def test_parts_are_even(spark):
     assert len(sizes) == 40 and max(sizes) < 1.5 * np.mean(sizes)
 
 
+def found_marks(spark, texts):
+    docs = spark.createDataFrame([(i, 0, t) for i, t in texts], "doc bigint, copy int, text string").coalesce(1)
+    return suffix_dedup.met(suffix_dedup.sent_blocks(docs, 1).where("part >= 0").toArrow()).to_pylist()
+
+
+def test_grams_that_meet_by_chance_are_no_edges(spark):
+    rnd = random.Random(12)
+    own = lambda n: "".join(rnd.choice("mnopqrst ") for _ in range(n))
+    with_part = lambda part: [(i, own(60) + part + own(60)) for i in range(40)]
+    passage = "abcdefgh ijkl 0123456789 xyzuv ABCDEFGH IJKL 9876543210 XYZUV"
+    assert found_marks(spark, with_part(passage[:30])) == []  # holds whole grams, no equal windows
+    edges = [m for m in found_marks(spark, with_part(passage[:52])) if m["kind"] == suffix_dedup.EDGE]
+    assert {m["doc"] for m in edges} == set(range(40))
+
+
+def test_passages_about_as_long_as_a_window(spark, monkeypatch):
+    rnd = random.Random(13)
+    own = lambda n: "".join(rnd.choice("mnopqrst ") for _ in range(n))
+    passages = [own(70) for _ in range(12)]
+    texts = [(i, "".join(own(rnd.choice([0, 3, 40])) + p[(a := rnd.randint(0, 20)):a + rnd.randint(46, 60)]
+                         for p in rnd.sample(passages, 3)) + own(rnd.choice([0, 9]))) for i in range(150)]
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 5000)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 5000)
+    monkeypatch.setattr(suffix_dedup, "SHARD_EDGES", 100)
+    got = sorted(map(tuple, suffix_dedup.removal_digests(table(spark, texts)).collect()), key=str)
+    want = plain_removal([(i, t.encode()) for i, t in texts])
+    assert got == want and 100 < sum(r[3] for r in want)
+
+
+def test_a_task_sends_one_block_for_a_part(spark):
+    rnd = random.Random(14)
+    docs = spark.createDataFrame([(i, 0, rnd.randbytes(250_000).hex()) for i in range(10)],
+                                 "doc bigint, copy int, text string").coalesce(1)
+    assert suffix_dedup.sent_blocks(docs, 8).count() == 8
+
+
+def test_whole_copies_are_one_row_of_spans(spark):
+    text = random.Random(15).randbytes(20_000).hex()
+    docs = spark.createDataFrame([(i, 0, text) for i in range(3)], "doc bigint, copy int, text string")
+    assert sorted(r["doc"] for r in suffix_dedup.repeats(docs).collect()) == [1, 2]
+
+
 def test_all_grams_hot_gives_the_same(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SAMPLE_SHARE", 1)
     monkeypatch.setattr(suffix_dedup, "SAMPLE_HOT", 2)
