@@ -52,6 +52,8 @@ WINDOWS = 1 << 16
 #: Anchors that a task holds before it sends them: a block for each part, so the more it holds
 #: the fewer blocks there are.
 HELD = 1 << 19
+#: Bytes of blocks that a task hands on at a time.
+SENT_BYTES = 2 << 20
 #: Bytes of text per part and per bucket, and edges per shard: what one task gets does not grow.
 PART_BYTES, BUCKET_BYTES, SHARD_EDGES = 8 << 20, 16 << 20, 1 << 14
 #: One of so many documents is drawn to find grams that are dealt by context as well, and how
@@ -252,7 +254,7 @@ def sent_blocks(docs: DataFrame, parts: int, hot: np.ndarray = np.zeros(0, np.ui
         n_held = n_sent = 0
         task = TaskContext.get().partitionId()
 
-        def send() -> pa.RecordBatch:
+        def send() -> Iterator[pa.RecordBatch]:
             columns = [np.concatenate(c) for c in zip(*held)]
             held.clear()
             order, _ = in_order(*columns[:3])
@@ -274,9 +276,12 @@ def sent_blocks(docs: DataFrame, parts: int, hot: np.ndarray = np.zeros(0, np.ui
             part, order = part[dealt], order[dealt]
             edges = of_number(part)
             blocks += pack_blocks(columns, edges, order)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([*keys, *part[edges[:-1]].tolist()], pa.int64()), pa.array(blocks, pa.binary())],
-                names=["part", "block"])
+            keys += part[edges[:-1]].tolist()
+            del columns, part, order, dealt
+            size = np.cumsum([len(b) for b in blocks]) // SENT_BYTES
+            for a, b in zip((ends := of_number(size).tolist())[:-1], ends[1:]):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[a:b], pa.int64()), pa.array(blocks[a:b], pa.binary())], names=["part", "block"])
 
         for batch in batches:
             for some in slices(batch):
@@ -288,17 +293,18 @@ def sent_blocks(docs: DataFrame, parts: int, hot: np.ndarray = np.zeros(0, np.ui
                     held.append((grams[first], contexts[first], ids.view(np.uint64), coded.view(np.uint64), sides[first]))
                     n_held += len(first)
                 if n_held >= HELD:
-                    yield send()
+                    yield from send()
                     n_held, n_sent = 0, n_sent + 1
         if held:
-            yield send()
+            yield from send()
 
     return bounded(docs).mapInArrow(run, "part bigint, block binary")
 
 
 COVERED, EDGE, HOT = 0, 1, 2
-#: Bits of a gram's hash that are sent. Different grams that agree in them are only compared in vain.
-GRAM_BITS = (1 << 48) - 1
+#: Bits of a gram's hash that are sent, as parts do not grow. Different grams that agree in them are
+#: only compared in vain.
+GRAM_BITS = (1 << 32) - 1
 
 
 def _meets(keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
